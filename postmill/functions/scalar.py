@@ -1,4 +1,4 @@
-"""Time, number, cast and null columns."""
+"""Time, number, cast and null columns (F14-F21, F27, F28), and when they are computed."""
 
 from __future__ import annotations
 
@@ -61,3 +61,13 @@ def or_zero(value: Column) -> Column:
 def or_false(value: Column) -> Column:
     """The default of an absent flag."""
     return F.coalesce(value, F.lit(False))
+
+
+def evaluated_once(value: Column) -> Column:
+    """The value, computed once per row however often it is used later.
+
+    The optimizer copies a plain expression into every filter and projection
+    that mentions it, so a line would be parsed once per mention. It does not
+    merge a generator, here of one element, with its neighbours.
+    """
+    return F.explode(F.array(value))

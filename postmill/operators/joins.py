@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,17 +65,31 @@ def salted_join(
     return spread.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A keyed side that has been measured, for use in several joins."""
+
+    rows: DataFrame
+    small: bool
+
+
+def measured(side: DataFrame) -> Lookup:
+    """Measure a side once."""
+    return Lookup(side, fits_broadcast(side))
+
+
 def lookup_join(
-    facts: DataFrame, side: DataFrame, key: str, spread_by: list[str], how: str = "inner"
+    facts: DataFrame, side: DataFrame | Lookup, key: str, spread_by: list[str], how: str = "inner"
 ) -> DataFrame:
     """Facts with the columns of a keyed side.
 
     Broadcast when the side is measured to fit, else a shuffle join that splits
     hot keys.
     """
-    if fits_broadcast(side):
-        return facts.join(F.broadcast(side), key, how)
-    return salted_join(facts, side, key, spread_by, how)
+    side = side if isinstance(side, Lookup) else measured(side)
+    if side.small:
+        return facts.join(F.broadcast(side.rows), key, how)
+    return salted_join(facts, side.rows, key, spread_by, how)
 
 
 def missing_from(rows: DataFrame, known: DataFrame, *keys: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postmill.operators.joins import lookup_join, missing_from
+from postmill.operators.joins import Lookup, lookup_join, measured, missing_from
 from postmill.session import durable
 
 # monotonically_increasing_id() holds the partition above 33 row bits.
@@ -45,11 +45,11 @@ def new_entries(keys: DataFrame, dim: DataFrame, key: str, id_col: str) -> DataF
     return dense_ids(missing_from(fresh, dim, key), key, id_col, largest_id(dim, id_col))
 
 
-def grown_dictionary(keys: DataFrame, dim: DataFrame, key: str, id_col: str) -> DataFrame:
+def grown_dictionary(keys: DataFrame, dim: DataFrame, key: str, id_col: str) -> Lookup:
     """The dictionary after all ``keys`` have been looked up."""
-    return dim.select(key, id_col).unionByName(new_entries(keys, dim, key, id_col))
+    return measured(dim.select(key, id_col).unionByName(new_entries(keys, dim, key, id_col)))
 
 
-def encode(facts: DataFrame, dictionary: DataFrame, key: str, id_col: str, spread_by: list[str]) -> DataFrame:
+def encode(facts: DataFrame, dictionary: Lookup, key: str, spread_by: list[str]) -> DataFrame:
     """Facts with the number of their key; null where there is none."""
-    return lookup_join(facts, dictionary.select(key, id_col), key, spread_by, how="left")
+    return lookup_join(facts, dictionary, key, spread_by, how="left")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.functions.scalar import as_long, post_time
+from postmill.functions.scalar import as_long, evaluated_once, post_time
 from postmill.functions.text import is_blank, normalise_tag
 from postmill.schema import INGEST_SCHEMA
 
+POST_COLUMNS = ("post_ext_id", "created_at", "text", "lang", "user_ext_id", "user_name", "tags")
+
 GOOD, BLANK, NOTICE, REJECT = "good", "blank", "notice", "reject"
 
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
@@ -27,40 +29,52 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     an id) or ``reject``; ``reason`` names the first rule a reject breaks. No
     line is dropped, so the counts add up to the lines read.
     """
+    parsed = lines.select("*", evaluated_once(parse_json(F.col("value"))).alias("_doc"))
     doc = F.col("_doc")
-    tags = F.coalesce(doc["entities"]["hashtags"]["text"], F.array().cast("array<string>"))
-    post_id, user_id = as_long(or_zero_text(doc["id"])), as_long(or_zero_text(doc["user"]["id"]))
-    created_at = post_time(doc["created_at"])
+    typed = parsed.select(
+        *lines.columns,
+        evaluated_once(
+            F.struct(
+                (doc.isNull() | doc["_corrupt"].isNotNull()).alias("malformed"),
+                doc["id_str"].isNull().alias("no_id"),
+                as_long(_or_zero_text(doc["id"])).alias("post_ext_id"),
+                post_time(doc["created_at"]).alias("created_at"),
+                doc["text"].alias("text"),
+                doc["lang"].alias("lang"),
+                F.when(doc["user"].isNotNull(), as_long(_or_zero_text(doc["user"]["id"]))).alias("user_ext_id"),
+                doc["user"]["name"].alias("user_name"),
+                F.transform(
+                    F.coalesce(doc["entities"]["hashtags"]["text"], F.array().cast("array<string>")), normalise_tag
+                ).alias("tags"),
+            )
+        ).alias("_post"),
+    )
+    post = F.col("_post")
+    blank = is_blank(F.col("value"))
     reason = (
-        F.when(doc.isNull() | doc["_corrupt"].isNotNull(), "malformed")
-        .when(doc["id_str"].isNull(), F.lit(None))
-        .when(created_at.isNull(), "bad date")
-        .when(post_id.isNull(), "bad id")
-        .when(doc["user"].isNull() | user_id.isNull() | doc["user"]["name"].isNull(), "bad user")
-        .when(doc["text"].isNull(), "no text")
-        .when(doc["lang"].isNull(), "no language")
-        .when(F.exists(tags, lambda tag: tag.isNull()), "bad tag")
+        F.when(blank, F.lit(None))
+        .when(post["malformed"], "malformed")
+        .when(post["no_id"], F.lit(None))
+        .when(post["created_at"].isNull(), "bad date")
+        .when(post["post_ext_id"].isNull(), "bad id")
+        .when(post["user_ext_id"].isNull() | post["user_name"].isNull(), "bad user")
+        .when(post["text"].isNull(), "no text")
+        .when(post["lang"].isNull(), "no language")
+        .when(F.exists(post["tags"], lambda tag: tag.isNull()), "bad tag")
     )
-    parsed = lines.withColumn("_doc", parse_json(F.col("value")))
-    return parsed.select(
+    return typed.select(
         *lines.columns,
-        F.when(is_blank(F.col("value")), BLANK)
+        F.when(blank, BLANK)
         .when(reason.isNotNull(), REJECT)
-        .when(doc["id_str"].isNull(), NOTICE)
+        .when(post["no_id"], NOTICE)
         .otherwise(GOOD)
         .alias("status"),
-        F.when(~is_blank(F.col("value")), reason).alias("reason"),
-        post_id.alias("post_ext_id"),
-        created_at.alias("created_at"),
-        doc["text"].alias("text"),
-        doc["lang"].alias("lang"),
-        user_id.alias("user_ext_id"),
-        doc["user"]["name"].alias("user_name"),
-        F.transform(tags, normalise_tag).alias("tags"),
+        reason.alias("reason"),
+        *[post[name].alias(name) for name in POST_COLUMNS],
     )
 
 
-def or_zero_text(value: Column) -> Column:
+def _or_zero_text(value: Column) -> Column:
     """The default of an absent number, on its text form."""
     return F.coalesce(value, F.lit("0"))
 

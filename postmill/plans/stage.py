@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.operators.joins import Lookup
 from postmill.operators.keys import encode, grown_dictionary
 from postmill.operators.pick import first_in_file
 from postmill.schema import STAGING
@@ -15,20 +16,20 @@ def used_tags(posts: DataFrame) -> DataFrame:
     return posts.select("src_file", F.explode("tags").alias("name"))
 
 
-def language_dictionary(posts: DataFrame, languages: DataFrame) -> DataFrame:
+def language_dictionary(posts: DataFrame, languages: DataFrame) -> Lookup:
     """Short code to number, new codes included."""
     return grown_dictionary(posts.select(F.col("lang").alias("short_code")), languages, "short_code", "lang_id")
 
 
-def tag_dictionary(posts: DataFrame, tags: DataFrame) -> DataFrame:
+def tag_dictionary(posts: DataFrame, tags: DataFrame) -> Lookup:
     """Stored tag to number, new tags included."""
     return grown_dictionary(used_tags(posts), tags, "name", "tag_id")
 
 
-def stage_languages(posts: DataFrame, dictionary: DataFrame) -> DataFrame:
+def stage_languages(posts: DataFrame, dictionary: Lookup) -> DataFrame:
     """The languages each file uses."""
     pairs = posts.select("src_file", F.col("lang").alias("short_code")).distinct()
-    staged = encode(pairs, dictionary, "short_code", "lang_id", ["src_file"])
+    staged = encode(pairs, dictionary, "short_code", ["src_file"])
     return staged.select(*STAGING["lang_stage"].columns)
 
 
@@ -38,23 +39,23 @@ def stage_users(posts: DataFrame) -> DataFrame:
     return first_in_file(users, "user_ext_id").select(*STAGING["users_stage"].columns)
 
 
-def stage_posts(posts: DataFrame, dictionary: DataFrame) -> DataFrame:
+def stage_posts(posts: DataFrame, dictionary: Lookup) -> DataFrame:
     """The first line each file holds of a post, with its language number."""
     first = first_in_file(posts.drop("user_name"), "post_ext_id").withColumnRenamed("lang", "short_code")
-    coded = encode(first, dictionary, "short_code", "lang_id", ["src_file", "post_ext_id"])
+    coded = encode(first, dictionary, "short_code", ["src_file", "post_ext_id"])
     return coded.withColumnRenamed("short_code", "lang").select(*STAGING["posts_stage"].columns)
 
 
-def stage_tags(posts: DataFrame, dictionary: DataFrame) -> DataFrame:
+def stage_tags(posts: DataFrame, dictionary: Lookup) -> DataFrame:
     """P10, A3, A5: the tags each file uses."""
     pairs = used_tags(posts).distinct()
-    return encode(pairs, dictionary, "name", "tag_id", ["src_file", "name"]).select(*STAGING["tags_stage"].columns)
+    return encode(pairs, dictionary, "name", ["src_file", "name"]).select(*STAGING["tags_stage"].columns)
 
 
-def stage_post_tags(staged_posts: DataFrame, dictionary: DataFrame) -> DataFrame:
+def stage_post_tags(staged_posts: DataFrame, dictionary: Lookup) -> DataFrame:
     """Tags of the staged posts as numbers; a tag written twice is two rows."""
     pairs = staged_posts.select("src_file", "post_ext_id", F.posexplode("tags").alias("_nth", "name"))
-    coded = encode(pairs, dictionary, "name", "tag_id", ["src_file", "post_ext_id", "_nth"])
+    coded = encode(pairs, dictionary, "name", ["src_file", "post_ext_id", "_nth"])
     return coded.select(*STAGING["post_tag_stage"].columns)
 
 

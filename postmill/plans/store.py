@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.schema import MAIN, PROFILES, STAGING, TIMINGS, TableSpec
-from postmill.sources.tables import empty_table, seed_languages
+from postmill.sources.tables import declared_empty, empty_table, seed_languages
 
 _COMMITS = "kind string, load_id bigint"
 
@@ -33,7 +33,7 @@ class Store:
         try:
             return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
         except AnalysisException:
-            return self.spark.createDataFrame([], _COMMITS)
+            return declared_empty(self.spark, {"kind": "string", "load_id": "bigint"})
 
     def _marks(self) -> dict[str, int]:
         # One row per kind of commit, a handful in all.
@@ -43,8 +43,12 @@ class Store:
     def publish(self, marks: dict[str, int]) -> None:
         """K9: raise marks, all of them at once, as one new file. Raising the
         mark of a kind makes all tables of its loads visible together."""
-        rows = self.spark.createDataFrame(list(marks.items()), _COMMITS)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        pairs = [
+            F.struct(F.lit(kind).alias("kind"), F.lit(load_id).cast("bigint").alias("load_id"))
+            for kind, load_id in marks.items()
+        ]
+        rows = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*pairs)))
+        rows.write.mode("append").parquet(f"{self.root}/commits")
 
     def committed(self, kind: str) -> int:
         """Newest finished load of ``stage``, ``main`` or ``merged``."""
@@ -89,17 +93,16 @@ class Store:
         rows.select(*SPECS[name].columns).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(SPECS[name].ddl).parquet(path)
 
-    def reset(self, kind: str) -> int:
-        """K8: empty all tables of a kind by raising the mark below which loads
-        are ignored, so numbers start again at 1. Returns the next load number."""
-        mark = self.committed(kind)
-        self.publish({f"{kind}-reset": mark})
-        return mark + 1
+    def reset(self, *kinds: str) -> None:
+        """K8: empty all tables of some kinds by raising the mark below which
+        loads are ignored, so numbers start again at 1."""
+        marks = self._marks()
+        self.publish({f"{kind}-reset": marks.get(kind, 0) for kind in kinds})
 
     def reset_all(self) -> None:
-        """Empty everything, then seed the languages."""
-        for kind in ("main", "stage", TIMINGS.name, PROFILES.name):
-            self.reset(kind)
-        load_id = self.committed("main") + 1
+        """Empty everything and seed the languages, in one commit."""
+        marks = self._marks()
+        load_id = marks.get("main", 0) + 1
         self.write("languages", seed_languages(self.spark), load_id)
-        self.publish({"main": load_id})
+        kinds = ("main", "stage", TIMINGS.name, PROFILES.name)
+        self.publish({**{f"{kind}-reset": marks.get(kind, 0) for kind in kinds}, "main": load_id})

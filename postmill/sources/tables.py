@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +18,22 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def declared_empty(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
+    """A frame of the given columns without rows, which the optimizer knows to be empty."""
+    nulls = [F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]
+    return spark.range(1).where(F.lit(False)).select(*nulls)
+
+
 def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """K4: a declared table without rows."""
-    return spark.createDataFrame([], spec.ddl)
+    return declared_empty(spark, spec.columns)
 
 
 def seed_languages(spark: SparkSession) -> DataFrame:
     """The fixed language dimension, 188 rows."""
-    rows = [line.split(",") for line in _SEEDS.read_text(encoding="utf-8").splitlines()[2:]]
-    return spark.createDataFrame([(int(key), code, name) for key, code, name in rows], MAIN["languages"].ddl)
+    keys, codes, names = zip(*(line.split(",") for line in _SEEDS.read_text(encoding="utf-8").splitlines()[2:]))
+    rows = pa.table({"lang_id": [int(key) for key in keys], "short_code": codes, "name": names})
+    return spark.createDataFrame(rows, MAIN["languages"].ddl)
 
 
 def generated_users(ids: DataFrame, id_col: str, prefix: str = "Bob") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postmill.functions.text import is_blank
 from postmill.plans.load import load_staging, merge_staging
 from postmill.plans.store import Store
+from postmill.sources.lines import with_position
 
 # Fixed value: files taken in at a time, one per worker.
 FILES_PER_TRIGGER = 7
@@ -60,7 +61,7 @@ def stage_stream(
         if epoch < store.committed(done):
             return
         load_id = store.committed("stage") + 1
-        load_staging(store, batch, clock(epoch), load_id, on_error, also={done: epoch + 1})
+        load_staging(store, with_position(batch), clock(epoch), load_id, on_error, also={done: epoch + 1})
 
     return (
         lines.writeStream.foreachBatch(one_batch)

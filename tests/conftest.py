@@ -9,8 +9,8 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         {
-            "spark.sql.shuffle.partitions": "4",
-            "spark.default.parallelism": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
