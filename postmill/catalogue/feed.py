@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.functions.scalar import evaluated_once
-from postmill.sources.tables import read_table
+from postmill.sources.tables import read_table, spread
 
 INGEST_TS = "2024-01-01 00:00:00"
 
@@ -42,7 +42,7 @@ def feed_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.split_part("p_name", F.lit(" "), F.lit(2)).alias("word2"),
         "p_brand",
     )
-    return read_table(spark, folder, "lineitem").join(parts, "l_partkey")
+    return spread(read_table(spark, folder, "lineitem")).join(parts, "l_partkey")
 
 
 def feed_lines(spark: SparkSession, folder: str) -> DataFrame:

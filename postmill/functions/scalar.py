@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 # Fixed value: a load shorter than this counts as this long.
 MIN_RATE_MS = 1000
 
+SECONDS_PER_DAY = 86_400
+WEEKDAYS = "MonTueWedThuFriSatSun"
+
 
 def post_time(value: Column) -> Column:
     """``Thu Feb 23 13:32:22 +0000 2017`` to a timestamp, else null.
 
     Null for an impossible date and for a weekday that does not belong to the
-    date. The weekday is checked on the written date, not on its UTC form.
+    date. The weekday is that of the written date, so it is reckoned from the
+    seconds at the written offset.
     """
     moment = F.try_to_timestamp(F.substring(value, 5, 64), F.lit("MMM dd HH:mm:ss Z yyyy"))
-    written_day = F.try_to_timestamp(
-        F.concat(F.substring(value, 5, 6), F.lit(" "), F.substring(value, -4, 4)), F.lit("MMM dd yyyy")
-    )
-    weekday = F.concat(F.date_format(written_day, "EEE"), F.lit(" "))
-    return F.when(F.substring(value, 1, 4) == weekday, moment)
+    hours, minutes = F.substring(value, 22, 2).try_cast("int"), F.substring(value, 24, 2).try_cast("int")
+    ahead = F.when(F.substring(value, 21, 1) == "-", -1).otherwise(1) * (hours * 3600 + minutes * 60)
+    day = F.floor((F.unix_seconds(moment) + ahead) / SECONDS_PER_DAY)
+    # Day 0 was a Thursday.
+    weekday = F.substring(F.lit(WEEKDAYS), (F.pmod(day + 3, F.lit(7)) * 3 + 1).cast("int"), F.lit(3))
+    return F.when(F.substring(value, 1, 4) == F.concat(weekday, F.lit(" ")), moment)
 
 
 def clock_text(moment: Column) -> Column:

@@ -19,7 +19,7 @@ HOT_ROWS = 1_000_000
 def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Measure a side, reading at most ``rows`` + 1 of its rows."""
     widths = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(16)
+        F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 if isinstance(f.dataType, T.StringType) else F.lit(24)
         for f in side.schema.fields
     ]
     row_size = sum(widths, F.lit(0)).cast("bigint")

@@ -85,12 +85,13 @@ def good_posts(parsed: DataFrame, on_error: str = "quarantine") -> DataFrame:
     ``on_error="fail"`` ends the job at the first rejected line instead of
     leaving it to :func:`rejects`.
     """
+    wanted = F.col("status") == GOOD
     if on_error == "fail":
         broken = F.raise_error(F.concat(F.lit("line rejected: "), F.col("reason"))).cast("boolean")
-        parsed = parsed.where(F.when(F.col("status") == REJECT, broken).otherwise(True))
+        wanted = F.when(F.col("status") == REJECT, broken).otherwise(wanted)
     elif on_error != "quarantine":
         raise ValueError(f"on_error is 'quarantine' or 'fail', not {on_error!r}")
-    return parsed.where(F.col("status") == GOOD).drop("value", "status", "reason")
+    return parsed.where(wanted).drop("value", "status", "reason")
 
 
 def rejects(parsed: DataFrame) -> DataFrame:

@@ -10,18 +10,18 @@ from postmill.operators.metrics import StepTimer
 from postmill.operators.parse import good_posts, parse_lines, rejects
 from postmill.plans import merge, stage
 from postmill.plans.store import Store
-from postmill.session import scratch_path
+from postmill.session import scratch_path, side_by_side
 
 
 def parsed_once(store: Store, lines: DataFrame, ingest_ts, load_id: int) -> DataFrame:
-    """Parse lines and store the result by verdict, so that five staging tables
-    and the rejects read typed columns instead of the JSON text again."""
+    """Parse lines and store the result, so that five staging tables and the
+    rejects read a few typed columns instead of the JSON text again."""
     moment = F.lit(ingest_ts).cast("timestamp")
     parsed = parse_lines(lines.withColumn("ingest_ts", moment))
     kept = F.when(F.col("status") == "reject", F.col("value")).alias("value")
     path = f"{store.root}/parsed/load_id={load_id}"
     columns = [kept if name == "value" else name for name in parsed.columns]
-    parsed.select(*columns).write.mode("overwrite").partitionBy("status").parquet(path)
+    parsed.select(*columns).write.mode("overwrite").parquet(path)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parsed.schema.fields)
     return store.spark.read.schema(schema).parquet(path)
 
@@ -47,17 +47,28 @@ def load_staging(
         parsed = parsed_once(store, lines, ingest_ts, load_id)
         posts = good_posts(parsed, on_error)
     with timer.step("dictionaries"):
-        main, waiting = store.main(), store.staging(waiting_only=True)
+        marks = store.marks()
+        main, waiting = store.main(marks), store.staging(marks, waiting_only=True)
         languages = _known(main["languages"], waiting["lang_stage"], "short_code", "lang_id")
         tags = _known(main["tags"], waiting["tags_stage"], "name", "tag_id")
-        lang_dict = stage.language_dictionary(posts, languages)
-        tag_dict = stage.tag_dictionary(posts, tags)
+        lang_dict, tag_dict = side_by_side(
+            store.spark,
+            lambda: stage.language_dictionary(posts, languages),
+            lambda: stage.tag_dictionary(posts, tags),
+        )
     with timer.step("staging"):
-        store.write("lang_stage", stage.stage_languages(posts, lang_dict), load_id)
-        store.write("users_stage", stage.stage_users(posts), load_id)
-        staged = store.write("posts_stage", stage.stage_posts(posts, lang_dict), load_id)
-        store.write("post_tag_stage", stage.stage_post_tags(staged, tag_dict), load_id)
-        store.write("tags_stage", stage.stage_tags(posts, tag_dict), load_id)
+
+        def posts_and_pairs() -> None:
+            staged = store.write("posts_stage", stage.stage_posts(posts, lang_dict), load_id)
+            store.write("post_tag_stage", stage.stage_post_tags(staged, tag_dict), load_id)
+
+        side_by_side(
+            store.spark,
+            posts_and_pairs,
+            lambda: store.write("users_stage", stage.stage_users(posts), load_id),
+            lambda: store.write("tags_stage", stage.stage_tags(posts, tag_dict), load_id),
+            lambda: store.write("lang_stage", stage.stage_languages(posts, lang_dict), load_id),
+        )
         store.publish({"stage": load_id, **(also or {})})
     return rejects(parsed)
 
@@ -73,27 +84,30 @@ def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer
     A second run finds nothing new. Returns the number of the load.
     """
     timer = timer or StepTimer("merge")
-    load_id, staged_up_to = store.committed("main") + 1, store.committed("stage")
-    staged, main = store.staging(waiting_only=True), store.main()
-    with timer.step("languages"):
-        store.write("languages", merge.new_languages(staged["lang_stage"], main["languages"]), load_id)
-    with timer.step("users"):
+    marks = store.marks()
+    load_id = marks.get("main", 0) + 1
+    staged, main = store.staging(marks, waiting_only=True), store.main(marks)
+
+    def users_posts_and_pairs() -> None:
         users = store.write("users", merge.new_users(staged["users_stage"], main["users"]), load_id)
-    with timer.step("posts"):
         stored = within_range(main["posts"], staged["posts_stage"], "post_ext_id")
         everyone = main["users"].unionByName(users)
-        posts = store.write(
-            "posts", merge.new_posts(staged["posts_stage"], everyone, stored, main["posts"]), load_id
-        )
-    with timer.step("tags"):
-        store.write("tags", merge.new_tags(staged["tags_stage"], main["tags"]), load_id)
-    with timer.step("post_tag"):
+        fresh = merge.new_posts(staged["posts_stage"], everyone, stored, main["posts"])
+        posts = store.write("posts", fresh, load_id)
         pairs = within_range(main["post_tag"], staged["post_tag_stage"], "post_ext_id")
         linked = merge.new_pairs(
             staged["post_tag_stage"], stored.unionByName(posts), pairs, main["post_tag"], keep_duplicates
         )
         store.write("post_tag", linked, load_id)
-    store.publish({"main": load_id, "merged": staged_up_to})
+
+    with timer.step("merge"):
+        side_by_side(
+            store.spark,
+            users_posts_and_pairs,
+            lambda: store.write("languages", merge.new_languages(staged["lang_stage"], main["languages"]), load_id),
+            lambda: store.write("tags", merge.new_tags(staged["tags_stage"], main["tags"]), load_id),
+        )
+    store.publish({"main": load_id, "merged": marks.get("stage", 0)})
     return load_id
 
 

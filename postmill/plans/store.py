@@ -35,8 +35,8 @@ class Store:
         except AnalysisException:
             return declared_empty(self.spark, {"kind": "string", "load_id": "bigint"})
 
-    def _marks(self) -> dict[str, int]:
-        # One row per kind of commit, a handful in all.
+    def marks(self) -> dict[str, int]:
+        """Newest load of each kind of commit, a handful in all."""
         newest = self._commits().groupBy("kind").agg(F.max("load_id").alias("n"))
         return {row["kind"]: row["n"] for row in newest.collect()}
 
@@ -52,7 +52,7 @@ class Store:
 
     def committed(self, kind: str) -> int:
         """Newest finished load of ``stage``, ``main`` or ``merged``."""
-        return self._marks().get(kind, 0)
+        return self.marks().get(kind, 0)
 
     # --------------------------------------------------------------- reads
 
@@ -62,7 +62,7 @@ class Store:
     def read(self, name: str, after: int = 0, marks: dict[str, int] | None = None) -> DataFrame:
         """The committed rows of a table, or those of loads later than ``after``."""
         spec, kind = SPECS[name], self._kind(name)
-        marks = self._marks() if marks is None else marks
+        marks = self.marks() if marks is None else marks
         low, high = max(after, marks.get(f"{kind}-reset", 0)), marks.get(kind, 0)
         if high <= low:
             return empty_table(self.spark, spec)
@@ -72,15 +72,15 @@ class Store:
             return empty_table(self.spark, spec)
         return rows.where((F.col("load_id") > low) & (F.col("load_id") <= high)).drop("load_id")
 
-    def main(self) -> dict[str, DataFrame]:
+    def main(self, marks: dict[str, int] | None = None) -> dict[str, DataFrame]:
         """The main tables, all as of one commit."""
-        marks = self._marks()
+        marks = self.marks() if marks is None else marks
         return {name: self.read(name, marks=marks) for name in MAIN}
 
-    def staging(self, waiting_only: bool = False) -> dict[str, DataFrame]:
+    def staging(self, marks: dict[str, int] | None = None, waiting_only: bool = False) -> dict[str, DataFrame]:
         """The staging tables, all as of one commit; ``waiting_only`` leaves out
         the loads that have been merged."""
-        marks = self._marks()
+        marks = self.marks() if marks is None else marks
         after = marks.get("merged", 0) if waiting_only else 0
         return {name: self.read(name, after, marks) for name in STAGING}
 
@@ -96,12 +96,12 @@ class Store:
     def reset(self, *kinds: str) -> None:
         """K8: empty all tables of some kinds by raising the mark below which
         loads are ignored, so numbers start again at 1."""
-        marks = self._marks()
+        marks = self.marks()
         self.publish({f"{kind}-reset": marks.get(kind, 0) for kind in kinds})
 
     def reset_all(self) -> None:
         """Empty everything and seed the languages, in one commit."""
-        marks = self._marks()
+        marks = self.marks()
         load_id = marks.get("main", 0) + 1
         self.write("languages", seed_languages(self.spark), load_id)
         kinds = ("main", "stage", TIMINGS.name, PROFILES.name)

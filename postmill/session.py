@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -61,3 +64,13 @@ def durable(df: DataFrame) -> DataFrame:
     re-read and never a re-run with other partition bounds."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent Spark actions at the same time, so that the last tasks of
+    one leave no cores idle. Returns their results in order; the first error is
+    raised once all have ended."""
+    inheriting = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheriting(job)) for job in jobs]
+    return [job.result() for job in running]

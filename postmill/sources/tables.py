@@ -18,6 +18,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, dealt out to all of
+    them; one with enough splits stays as it is and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def declared_empty(spark: SparkSession, columns: dict[str, str]) -> DataFrame:
     """A frame of the given columns without rows, which the optimizer knows to be empty."""
     nulls = [F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]

@@ -29,10 +29,7 @@ def two_files(tmp_path):
     )
 
 
-def test_load_and_merge(spark, tmp_path):
-    store = scratch_store(spark)
-    set_aside = load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
-    assert rows(set_aside, "reason", "value") == [("malformed", "xxx{}")]
+def check_first_load(store):
     main = store.main()
 
     languages = dict(rows(main["languages"], "short_code", "lang_id"))
@@ -59,28 +56,42 @@ def test_load_and_merge(spark, tmp_path):
     ]
     assert table_report({**main, **store.staging()}, {**MAIN, **STAGING}).count() == 0
 
+def everything(store):
+    return {name: rows(df, *df.columns) for name, df in store.main().items()}
 
-def test_merge_twice_is_merge_once(spark, tmp_path):
+
+def test_life_of_a_store(spark, tmp_path):
     store = scratch_store(spark)
-    load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
-    before = {name: rows(df, *df.columns) for name, df in store.main().items()}
+    set_aside = load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
+    assert rows(set_aside, "reason", "value") == [("malformed", "xxx{}")]
+    check_first_load(store)
+    before = everything(store)
+
+    # Merging twice is merging once, and so is loading the same files again.
     merge_staging(store)
-    # The same files again, as a new load.
     load_lines(store, read_lines(spark, str(tmp_path / "in")), LATER)
-    assert {name: rows(df, *df.columns) for name, df in store.main().items()} == before
-
+    assert everything(store) == before
 
-def test_second_load_continues_numbers(spark, tmp_path):
-    store = scratch_store(spark)
-    load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
+    # What a load wrote before it failed is not seen, and the next load overwrites it.
+    junk = spark.sql("select 99L tag_id, 'junk' name")
+    store.write("tags", junk, store.committed("main") + 1)
+    assert everything(store) == before
     more = write_files(tmp_path / "more", c=[post(9, "new", (5, "Eve"), "zzz", ["alpha"]), post(2, "kept?", (11, "Al"))])
     load_lines(store, read_lines(spark, more), LATER)
     main = store.main()
     assert rows(main["posts"], "post_id", "post_ext_id", "text")[1:] == [(2, 2, "other"), (3, 3, "third"), (4, 9, "new")]
-    assert rows(main["users"], "user_id", "name")[-1] == (4, "Eve")
+    assert rows(main["users"], "user_id", "name") == [(1, "Amy"), (2, "Bob"), (3, "Cy"), (4, "Eve")]
     assert rows(main["tags"], "tag_id", "name")[-1] == (5, "alpha")
     assert rows(main["languages"], "lang_id", "short_code")[-1] == (191, "zzz")
 
+    # After a reset only the seeds are left and numbers start again.
+    store.reset_all()
+    sizes = {name: df.count() for name, df in store.main().items()}
+    assert sizes == {"languages": 188, "users": 0, "posts": 0, "tags": 0, "post_tag": 0}
+    assert all(df.count() == 0 for df in store.staging().values())
+    load_lines(store, read_lines(spark, str(tmp_path / "in")), NOON)
+    assert everything(store) == before
+
 
 def test_two_waiting_loads_share_numbers(spark, tmp_path):
     store = scratch_store(spark)
@@ -95,29 +106,6 @@ def test_two_waiting_loads_share_numbers(spark, tmp_path):
     assert main["languages"].count() == 189
 
 
-def test_unfinished_load_is_invisible_and_overwritten(spark, tmp_path):
-    store = scratch_store(spark)
-    load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
-    junk = store.main()["tags"].limit(0).union(spark.createDataFrame([(99, "junk")], MAIN["tags"].ddl))
-    store.write("tags", junk, store.committed("main") + 1)
-    assert rows(store.read("tags"), "tag_id")[-1] == (4,)
-    more = write_files(tmp_path / "more", c=[post(9, "new", (5, "Eve"), "en", ["alpha"])])
-    load_lines(store, read_lines(spark, more), LATER)
-    assert rows(store.read("tags"), "tag_id", "name")[-1] == (5, "alpha")
-
-
-def test_reset_starts_again(spark, tmp_path):
-    store = scratch_store(spark)
-    load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
-    store.reset_all()
-    assert {name: df.count() for name, df in store.main().items()} == {
-        "languages": 188, "users": 0, "posts": 0, "tags": 0, "post_tag": 0,
-    }
-    assert all(df.count() == 0 for df in store.staging().values())
-    load_lines(store, read_lines(spark, str(tmp_path / "in")), LATER)
-    assert rows(store.main()["posts"], "post_id")[0] == (1,)
-
-
 def test_bag_of_pairs_on_request(spark, tmp_path):
     store = scratch_store(spark)
     files = write_files(tmp_path / "in", a=[post(1, tags=["a", "A "])], b=[post(1, tags=["a"])])
