@@ -16,7 +16,7 @@ from postmill.operators import audit, joins, keys, metrics, pick
 from postmill.operators.parse import parse_json
 from postmill.operators.subscription import subscribed
 from postmill.schema import TableSpec
-from postmill.sources.tables import generated_users, read_table
+from postmill.sources.tables import generated_users, read_table, spread
 
 
 def _table(name: str, *columns: str):
@@ -52,7 +52,7 @@ def project_filter_posts(spark, folder):
 
 
 def subscription_filter(spark, folder):
-    docs = read_table(spark, folder, "documents")
+    docs = spread(read_table(spark, folder, "documents"))
     wanted = subscribed(
         text=F.col("text"),
         user_id=F.col("source"),
@@ -108,7 +108,7 @@ def user_rank_one(spark, folder):
 
 
 def _latest_lines(spark, folder):
-    lines = read_table(spark, folder, "lineitem")
+    lines = spread(read_table(spark, folder, "lineitem"))
     order = [F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
     return pick.first_per_key(lines, ["l_orderkey", "l_linenumber"], order)
 
@@ -174,11 +174,10 @@ def resolve_user_key(spark, folder):
 
 
 def resolve_user_key_split(spark, folder):
-    # The same join along the path taken when the users are too many to send
-    # around; every user with more than ten events is split.
+    # The same join along the path taken when the users are too many to send around.
     events = _table("events", "event_id", "user_id")(spark, folder)
     users = _table("customer", "c_custkey", "c_name")(spark, folder).withColumnRenamed("c_custkey", "user_id")
-    return joins.salted_join(events, users, "user_id", ["event_id"], hot_rows=10).select("event_id", "c_name")
+    return joins.salted_join(events, users, "user_id", ["event_id"]).select("event_id", "c_name")
 
 
 def anti_new_lang(spark, folder):
@@ -206,7 +205,8 @@ def merge_posts(spark, folder):
     stored = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
     fresh = joins.missing_from(_latest_lines(spark, folder), stored, "l_orderkey")
     owners = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    linked = joins.lookup_join(fresh, owners, "l_orderkey", ["l_orderkey", "l_linenumber"])
+    # The anti-join leaves its rows partitioned by order, which this join uses again.
+    linked = fresh.join(owners, "l_orderkey")
     return linked.select("l_orderkey", "l_linenumber", "l_shipdate", "o_custkey")
 
 
@@ -309,7 +309,7 @@ def text_tag_not_linked(spark, folder):
 
 def written_tag_counts(spark, folder):
     # Every word after a blank becomes a tag of its document.
-    docs = read_table(spark, folder, "documents")
+    docs = spread(_table("documents", "text")(spark, folder))
     tags = text.extract_tags(F.replace(F.col("text"), F.lit(" "), F.lit(" #")))
     return docs.select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
@@ -374,7 +374,7 @@ def time_functions(spark, folder):
 
 
 def post_times(spark, folder):
-    lines = read_table(spark, folder, "lineitem")
+    lines = spread(read_table(spark, folder, "lineitem"))
     right = F.date_format("l_shipdate", "EEE MMM dd HH:mm:ss")
     day = F.when(F.col("l_linestatus") == "F", right).otherwise(F.concat(F.lit("Xxx"), F.substring(right, 4, 99)))
     zone = F.when(F.col("l_returnflag") == "R", " +0130 ").otherwise(" +0000 ")

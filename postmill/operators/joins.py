@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postmill.session import durable
+
 # A side is sent to every executor only when it stays below both bounds.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# Rows of one key a single task should join; beyond it the key is split.
-HOT_ROWS = 1_000_000
+# A key with more than this fraction of all facts is split into parts of at most
+# that size. At most HOT_PARTS keys can be that frequent, and splitting adds at
+# most HOT_PARTS copies of their rows, however many facts there are.
+HOT_PARTS = 10_000
 
 
 def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -33,21 +37,24 @@ def salted_join(
     key: str,
     spread_by: list[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Shuffle join that splits hot keys; the result is that of the plain join.
 
-    Keys with more than ``hot_rows`` facts are found by a pre-aggregated count
-    of the key column alone; there are at most (all facts / ``hot_rows``) of
-    them. Their facts spread over several salts by a hash of ``spread_by``, a
-    unique key of the facts, and only their rows of ``side`` are repeated, once
-    per salt. That bound is what allows the broadcast of the hot keys.
+    Hot keys are those with more than one of ``parts`` equal shares of the
+    facts, found by a pre-aggregated count of the key column alone. Fewer than
+    ``parts`` keys can be hot, which is what allows their broadcast. Their facts
+    spread over several salts by a hash of ``spread_by``, a unique key of the
+    facts, and only their rows of ``side`` are repeated, once per salt.
+
+    Facts are read three times: pass a table, or a frame that is stored.
     """
+    share = max(1, facts.count() // parts)
     hot = (
         facts.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+        .where((F.col("_n") > share) & F.col(key).isNotNull())
+        .select(key, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
     )
     place = F.xxhash64(*spread_by)
     salt = (
@@ -100,8 +107,8 @@ def missing_from(rows: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
 def within_range(known: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """The part of ``known`` that can match ``rows``, by the key range of ``rows``.
 
-    Stored tables are written in key order, so the two bounds let the scan skip
-    the files and row groups outside of them.
+    Every stored file is sorted by its key, so the two bounds let the scan skip
+    the row groups outside of them.
     """
     low, high = rows.agg(F.min(key), F.max(key)).first()
     if low is None:
@@ -112,9 +119,10 @@ def within_range(known: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent; null keys refer to nothing.
 
-    Keys are compared once each, and only the few keys without a parent go
-    back to the child rows, so a hot key never gathers its rows in one task.
+    Each key is compared once. The keys without a parent, as a rule few, are
+    stored and then go to the child rows, which stay where they are.
     """
     keys = child.select(child_key).where(F.col(child_key).isNotNull()).distinct()
-    lost = keys.join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
-    return child.join(lost, child_key, "left_semi")
+    lost = durable(keys.join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti"))
+    marked = child.withColumn("_row", F.monotonically_increasing_id())
+    return lookup_join(marked, lost, child_key, ["_row"], "left_semi").drop("_row")

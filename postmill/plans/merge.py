@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.operators.joins import lookup_join, missing_from
+from postmill.operators.joins import lookup_join, measured, missing_from
 from postmill.operators.keys import dense_ids, largest_id
 from postmill.operators.pick import latest_copy, one_name_per_user
 from postmill.schema import MAIN
+from postmill.session import durable
 
 
 def new_languages(lang_stage: DataFrame, languages: DataFrame) -> DataFrame:
@@ -33,11 +34,13 @@ def new_posts(posts_stage: DataFrame, users: DataFrame, posts: DataFrame, all_po
     """
     narrow = posts_stage.select("post_ext_id", "user_ext_id", "ingest_ts", "src_file", "pos")
     fresh = missing_from(latest_copy(narrow), posts, "post_ext_id")
-    keyed = lookup_join(fresh, users.select("user_ext_id", "user_id"), "user_ext_id", ["post_ext_id"])
+    owners = measured(users.select("user_ext_id", "user_id"))
+    keyed = lookup_join(fresh if owners.small else durable(fresh), owners, "user_ext_id", ["post_ext_id"])
     base = largest_id(posts if all_posts is None else all_posts, "post_id")
     numbered = dense_ids(keyed.select("post_ext_id", "user_id", "src_file", "pos"), "post_ext_id", "post_id", base)
     lines = posts_stage.select("post_ext_id", "src_file", "pos", "created_at", "text", "lang_id", "ingest_ts")
-    return lines.join(numbered, ["post_ext_id", "src_file", "pos"]).select(*MAIN["posts"].columns)
+    kept = lines.join(numbered, ["post_ext_id", "src_file", "pos"]).sortWithinPartitions("post_ext_id")
+    return kept.select(*MAIN["posts"].columns)
 
 
 def new_tags(tags_stage: DataFrame, tags: DataFrame) -> DataFrame:
@@ -57,12 +60,18 @@ def new_pairs(
     One row per pair, and none that is stored already. ``keep_duplicates``
     keeps the staged bag instead, repeated pairs included.
     """
-    pairs = post_tag_stage.select("post_ext_id", "tag_id")
-    if not keep_duplicates:
-        pairs = missing_from(pairs.distinct(), post_tag, "post_ext_id", "tag_id")
-    linked = pairs.join(posts.select("post_ext_id", "post_id"), "post_ext_id")
+    side = posts.select("post_ext_id", "post_id")
+    if keep_duplicates:
+        # The copies of a pair are alike; their number only keeps them apart.
+        pairs = post_tag_stage.select("post_ext_id", "tag_id", F.monotonically_increasing_id().alias("_copy"))
+        linked = lookup_join(pairs, side, "post_ext_id", ["_copy"])
+    else:
+        pairs = missing_from(post_tag_stage.select("post_ext_id", "tag_id").distinct(), post_tag, "post_ext_id", "tag_id")
+        linked = pairs.withColumn("_copy", F.lit(1)).join(side, "post_ext_id")
     base = largest_id(post_tag if all_pairs is None else all_pairs, "post_tag_id")
-    return dense_ids(linked, ["post_ext_id", "tag_id"], "post_tag_id", base).select(*MAIN["post_tag"].columns)
+    rows = linked.select("post_ext_id", "post_id", "tag_id", "_copy")
+    numbered = dense_ids(rows, ["post_ext_id", "tag_id", "_copy"], "post_tag_id", base)
+    return numbered.select(*MAIN["post_tag"].columns)
 
 
 def merge_all(

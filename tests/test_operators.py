@@ -80,7 +80,7 @@ def test_salted_join_is_the_plain_join(spark, how):
     facts = [(i, None if i % 10 == 0 else 0 if rng.random() < 0.4 else rng.randint(1, 60)) for i in range(3000)]
     df = spark.createDataFrame(facts, "id int, k int")
     side = spark.createDataFrame([(k, f"v{k}") for k in range(0, 70, 2)], "k int, v string")
-    salted = joins.salted_join(df, side, "k", ["id"], how, hot_rows=50)
+    salted = joins.salted_join(df, side, "k", ["id"], how, parts=60)
     assert rows(salted.select("id", "k", "v")) == rows(df.join(side, "k", how).select("id", "k", "v"))
 
 
@@ -91,7 +91,7 @@ def test_salted_join_splits_the_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
-        joined = joins.salted_join(facts, side, "k", ["id"], hot_rows=100)
+        joined = joins.salted_join(facts, side, "k", ["id"], parts=100)
         sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "2")
