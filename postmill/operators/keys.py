@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators.joins import Lookup, lookup_join, measured, missing_from
@@ -23,18 +26,20 @@ def dense_ids(rows: DataFrame, key: str | list[str], id_col: str, base: int = 0)
     The rows are range-partitioned and sorted, then stored, so that both passes
     see the same partitions: one counts rows per partition, the other adds the
     rows of all earlier partitions to the place within its own. No task sees
-    more than its range; the offsets are one row per partition.
+    more than its range; the driver sees one number per partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
     placed = durable(rows.orderBy(*keys)).withColumn("_place", F.monotonically_increasing_id())
     part = F.shiftrightunsigned("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
-    offsets = sizes.select("_part", (earlier + base).alias("_offset"))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_part").collect()
+    if len(sizes) <= 1:
+        return placed.select(*rows.columns, (row + base + 1).alias(id_col))
+    starts = accumulate((size["_n"] for size in sizes[:-1]), initial=base)
+    offsets = pa.table({"_part": [size["_part"] for size in sizes], "_offset": list(starts)})
     return (
         placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(F.broadcast(rows.sparkSession.createDataFrame(offsets)), "_part")
         .select(*rows.columns, (F.col("_offset") + row + 1).alias(id_col))
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.operators.joins import within_range
+from postmill.operators.joins import missing_from, within_range
 from postmill.operators.metrics import StepTimer
 from postmill.operators.parse import good_posts, parse_lines, rejects
 from postmill.plans import merge, stage
@@ -74,7 +74,8 @@ def load_staging(
 
 
 def _known(main: DataFrame, waiting: DataFrame, key: str, id_col: str) -> DataFrame:
-    return main.select(key, id_col).unionByName(waiting.select(key, id_col)).distinct()
+    numbered = main.select(key, id_col)
+    return numbered.unionByName(missing_from(waiting.select(key, id_col).distinct(), numbered, key))
 
 
 def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer | None = None) -> int:
