@@ -30,48 +30,41 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     line is dropped, so the counts add up to the lines read.
     """
     parsed = lines.select("*", evaluated_once(parse_json(F.col("value"))).alias("_doc"))
-    doc = F.col("_doc")
+    doc, user = F.col("_doc"), F.col("_doc")["user"]
+    no_tags = F.array().cast("array<string>")
+    # Typed columns first, verdict on them second: each is computed once.
     typed = parsed.select(
         *lines.columns,
-        evaluated_once(
-            F.struct(
-                (doc.isNull() | doc["_corrupt"].isNotNull()).alias("malformed"),
-                doc["id_str"].isNull().alias("no_id"),
-                as_long(_or_zero_text(doc["id"])).alias("post_ext_id"),
-                post_time(doc["created_at"]).alias("created_at"),
-                doc["text"].alias("text"),
-                doc["lang"].alias("lang"),
-                F.when(doc["user"].isNotNull(), as_long(_or_zero_text(doc["user"]["id"]))).alias("user_ext_id"),
-                doc["user"]["name"].alias("user_name"),
-                F.transform(
-                    F.coalesce(doc["entities"]["hashtags"]["text"], F.array().cast("array<string>")), normalise_tag
-                ).alias("tags"),
-            )
-        ).alias("_post"),
+        (doc.isNull() | doc["_corrupt"].isNotNull()).alias("_malformed"),
+        doc["id_str"].isNull().alias("_no_id"),
+        as_long(_or_zero_text(doc["id"])).alias("post_ext_id"),
+        post_time(doc["created_at"]).alias("created_at"),
+        doc["text"].alias("text"),
+        doc["lang"].alias("lang"),
+        F.when(user.isNotNull(), as_long(_or_zero_text(user["id"]))).alias("user_ext_id"),
+        user["name"].alias("user_name"),
+        F.transform(F.coalesce(doc["entities"]["hashtags"]["text"], no_tags), normalise_tag).alias("tags"),
     )
-    post = F.col("_post")
     blank = is_blank(F.col("value"))
     reason = (
         F.when(blank, F.lit(None))
-        .when(post["malformed"], "malformed")
-        .when(post["no_id"], F.lit(None))
-        .when(post["created_at"].isNull(), "bad date")
-        .when(post["post_ext_id"].isNull(), "bad id")
-        .when(post["user_ext_id"].isNull() | post["user_name"].isNull(), "bad user")
-        .when(post["text"].isNull(), "no text")
-        .when(post["lang"].isNull(), "no language")
-        .when(F.exists(post["tags"], lambda tag: tag.isNull()), "bad tag")
+        .when(F.col("_malformed"), "malformed")
+        .when(F.col("_no_id"), F.lit(None))
+        .when(F.col("created_at").isNull(), "bad date")
+        .when(F.col("post_ext_id").isNull(), "bad id")
+        .when(F.col("user_ext_id").isNull() | F.col("user_name").isNull(), "bad user")
+        .when(F.col("text").isNull(), "no text")
+        .when(F.col("lang").isNull(), "no language")
+        .when(F.exists("tags", lambda tag: tag.isNull()), "bad tag")
     )
-    return typed.select(
-        *lines.columns,
+    judged = typed.withColumn("reason", reason)
+    status = (
         F.when(blank, BLANK)
-        .when(reason.isNotNull(), REJECT)
-        .when(post["no_id"], NOTICE)
+        .when(F.col("reason").isNotNull(), REJECT)
+        .when(F.col("_no_id"), NOTICE)
         .otherwise(GOOD)
-        .alias("status"),
-        reason.alias("reason"),
-        *[post[name].alias(name) for name in POST_COLUMNS],
     )
+    return judged.select(*lines.columns, status.alias("status"), "reason", *POST_COLUMNS)
 
 
 def _or_zero_text(value: Column) -> Column:

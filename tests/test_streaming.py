@@ -2,9 +2,12 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from posts import post, write_files
 
 from postmill.operators.parse import good_posts, parse_lines
+from postmill.operators.subscription import tracks
 from postmill.plans.load import load_lines, scratch_store
 from postmill.sources.lines import read_lines, stream_lines
 from postmill.streaming import ingest
@@ -85,6 +88,14 @@ def test_drain(spark, tmp_path):
     assert rows(spark.read.text(out), "value") == [("l1",), ("l2",), ("l3",), ("l4",)]
 
 
+def test_land_what_is_wanted(spark, tmp_path):
+    folder = write_files(tmp_path / "in", a=["a bee", "", "a wasp", "BEEs too"])
+    out = str(tmp_path / "out")
+    wanted = tracks(F.col("value"), ["bee"])
+    ingest.land(stream_lines(spark, folder), out, str(tmp_path / "log"), wanted).awaitTermination()
+    assert rows(spark.read.text(out), "value") == [("BEEs too",), ("a bee",)]
+
+
 def test_drop_recent_duplicates(spark, tmp_path):
     folder = write_files(tmp_path / "in", **FILES)
     posts = good_posts(parse_lines(stream_lines(spark, folder)))
