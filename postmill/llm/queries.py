@@ -6,25 +6,80 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import bpe, line_dedup, mixing, quality_classifier, quality_rules, weighted_minhash
-from postmill.llm.columns import table
+from postmill.llm import (
+    bpe,
+    line_dedup,
+    mixing,
+    preferences,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    toxicity,
+    weighted_minhash,
+    winnowing,
+)
+from postmill.llm.columns import only, table
 from postmill.llm.metrics import STOP_WORDS
+from postmill.session import scratch_path
 
 #: The vocabulary file the encoding query reads.
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document, with its toxic spans."""
+    return toxicity.tag(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and what they decode to, as digests."""
     definition = bpe.read_definition(public_tokenizers.path(VOCABULARY))
     return bpe.encode(table(spark, folder, "documents"), definition, with_ids=False)
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after three batches: all documents come, toxic ones go, bad ones are
+    counted anew without their symbols. The first batch comes twice."""
+    docs = only(table(spark, folder, "documents"), "doc_id", "text", "source", "lang")
+    labels = only(table(spark, folder, "labels"), "doc_id", "quality", "toxic")
+    counted = token_counts.counted(docs)
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "token-counts"))
+    rollup.commit("arrival", token_counts.inserts(counted))
+    labelled = docs.join(labels, "doc_id")
+    rollup.commit("toxic", token_counts.deletes(token_counts.counted(labelled.where("toxic = 1"))))
+    bad = labelled.where("quality = 0 and toxic = 0")
+    bare = F.regexp_replace("text", "[#*$%&|]", "")
+    before = token_counts.counted(bad)
+    after = token_counts.counted(bad.withColumn("text", bare)).withColumnRenamed("tokens", "new_tokens")
+    keys = ["doc_id", "tokenizer"]
+    rollup.commit("cleaned", token_counts.revisions(before.join(after.select(*keys, "new_tokens"), keys)))
+    rollup.commit("arrival", token_counts.inserts(counted))
+    return rollup.totals()
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document is taken, and its source's target."""
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op5_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited copy, and how alike they are."""
+    return winnowing.edited_fingerprints(table(spark, folder, "documents"))
+
+
+def op6_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation against itself with its partner's ending."""
+    turns = only(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text").withColumnRenamed("conv_id", "pair")
+    pairs = preferences.format_pairs(turns, preferences.with_swapped_ending(turns))
+
+    def spans(name: str):
+        parts = F.transform(name, lambda s: F.concat_ws("-", s["begin"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",").alias(name)
+
+    texts = ["prompt", "chosen", "rejected"]
+    return pairs.select(F.col("pair").alias("conv_id"), "block", "n_common", *texts, spans("chosen_mask"), spans("rejected_mask"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: lines, repeated lines, and the digest of what is left."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -51,8 +106,12 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
+    "op5_winnowing": op5_winnowing,
+    "op6_preferences": op6_preferences,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
@@ -61,7 +120,60 @@ QUERIES = {
 
 _STOPS = "[" + ", ".join(f"'{word}'" for word in STOP_WORDS) + "]"
 
+_PIECES = "[A-Za-z]+|[0-9]+|[^A-Za-z0-9\\x09-\\x0D ]"
+_WORDS = "[^\\x20\\x09-\\x0D]+"
+
 ORACLES = {
+    "op3_token_counts": f"""
+        with d as (
+            select d.source, d.lang, case when l.quality = 0 then regexp_replace(d.text, '[#*$%&|]', '', 'g') else d.text end as t
+            from documents d left join labels l using (doc_id) where coalesce(l.toxic, 0) <> 1
+        ),
+        c as (
+            select source, lang, 'words/1' as tokenizer, len(regexp_extract_all(coalesce(t, ''), '{_WORDS}')) as n from d
+            union all
+            select source, lang, 'pieces/1', len(regexp_extract_all(coalesce(t, ''), '{_PIECES}')) from d
+        )
+        select source, lang, tokenizer, count(*) as docs, cast(sum(n) as bigint) as tokens from c group by all""",
+    "op6_preferences": """
+        with t as (
+            select conv_id, turn, min({'role': role, 'text': text}) as said
+            from conversations where conv_id is not null and turn is not null group by all
+        ),
+        e as (select conv_id, max(turn) as last, arg_max(said.text, turn) as ending from t group by conv_id),
+        r as (
+            select t.conv_id, t.turn, t.said.role as role,
+                case when t.turn = e.last then p.ending else t.said.text end as text
+            from t join e using (conv_id) join e p on p.conv_id = xor(e.conv_id, 1)
+        ),
+        b as (
+            select t.conv_id, t.turn, t.said.role as role, t.said.text as c, r.text as r, r.conv_id is not null as paired
+            from t left join r on r.conv_id = t.conv_id and r.turn = t.turn
+        ),
+        o as (
+            select *, coalesce(turn < min(case when not paired or c is distinct from r then turn end)
+                over (partition by conv_id), true) as common from b
+        ),
+        s as (
+            select *, '<|' || coalesce(role, '') || '|>' || chr(10) as head,
+                '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(c, '') || chr(10) as cs,
+                case when paired then '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(r, '') || chr(10) end as rs
+            from o
+        ),
+        m as (
+            select *, sum(case when common then 0 else len(cs) end) over w as c_end,
+                sum(case when common then 0 else coalesce(len(rs), 0) end) over w as r_end
+            from s window w as (partition by conv_id order by turn)
+        )
+        select conv_id, cast(0 as bigint) as block, count(*) filter (common) as n_common,
+            coalesce(string_agg(cs, '' order by turn) filter (common), '') as prompt,
+            coalesce(string_agg(cs, '' order by turn) filter (not common), '') as chosen,
+            coalesce(string_agg(rs, '' order by turn) filter (not common), '') as rejected,
+            coalesce(string_agg((c_end - len(cs) + len(head))::bigint || '-' || (c_end - 1)::bigint, ',' order by turn)
+                filter (not common and role = 'assistant'), '') as chosen_mask,
+            coalesce(string_agg((r_end - len(rs) + len(head))::bigint || '-' || (r_end - 1)::bigint, ',' order by turn)
+                filter (not common and paired and role = 'assistant'), '') as rejected_mask
+        from m group by conv_id""",
     "op8_quality_rules": f"""
         with t as (select doc_id, coalesce(text, '') as t from documents),
         w as (
