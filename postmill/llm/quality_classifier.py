@@ -15,9 +15,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.columns import only, with_columns_aside
+from postmill.llm.columns import only, stored, with_columns_aside
 from postmill.llm.metrics import measured_texts
-from postmill.operators.joins import lookup_join
+from postmill.operators.joins import fits_broadcast, lookup_join
 from postmill.session import durable
 
 #: At most so many labelled documents, those with the smallest hash of their id, fit the model.
@@ -211,20 +211,28 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` whose posterior reaches the threshold, with all columns.
 
-    The texts are read twice, once for the sums and once for the verdict, and
-    are not shuffled unless the sites are too many to broadcast.
+    Rows are scored once, without their texts; those that fail are then taken out
+    by id and hash of the text. Texts are not shuffled unless the rejected rows
+    are too many to broadcast. Rows equal in id, text and site fare alike.
     """
     model = fit(docs, labels, id_col, text_col)
-    sums = only(docs, *dict.fromkeys([id_col, text_col, host_col, path_col])).select(
-        id_col, text_col, F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path")
+    read = only(docs, *dict.fromkeys([id_col, text_col, host_col, path_col])).select(
+        text_col,
+        F.struct(F.col(id_col).alias("k"), F.col(host_col).cast("string").alias("h"), F.col(path_col).cast("string").alias("p")).alias("_k"),
+        F.xxhash64(text_col).alias("_text_hash"),
+        F.col(host_col).cast("string").alias("host"),
+        F.col(path_col).cast("string").alias("path"),
     )
-    sites, priors = site_posteriors(_scored(sums, model, text_col, ["host", "path"]), "host", "path", "_p")
-    aside, old, new = with_columns_aside(docs)
-    named = aside.select("*", F.col(new[host_col]).cast("string").alias("host"), F.col(new[path_col]).cast("string").alias("path"))
-    scored = _scored(named, model, new[text_col], [*named.columns])
+    scored = stored(_scored(read, model, text_col, ["_k", "_text_hash", "host", "path"]), "quality-scores")
+    sites, priors = site_posteriors(scored, "host", "path", "_p")
     _, score = posterior(priors, "evidence", "_p")
-    joined = _beside(scored, sites, ["host", "path"], [new[id_col], "evidence"])
-    return joined.where(score >= threshold).select(*aside.columns).toDF(*old)
+    joined = _beside(scored, sites, ["host", "path"], ["_k", "_text_hash"])
+    rejected = stored(joined.where(score < threshold).select("_k", "_text_hash").distinct(), "quality-rejected")
+    aside, old, new = with_columns_aside(docs)
+    site = [F.col(new[name]).cast("string").alias(short) for name, short in ((host_col, "h"), (path_col, "p"))]
+    keyed = aside.select("*", F.struct(F.col(new[id_col]).alias("k"), *site).alias("_k"), F.xxhash64(new[text_col]).alias("_text_hash"))
+    gone = F.broadcast(rejected) if fits_broadcast(rejected) else rejected
+    return keyed.join(gone, ["_k", "_text_hash"], "left_anti").select(*aside.columns).toDF(*old)
 
 
 def _scored(rows: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
