@@ -1,0 +1,299 @@
+"""The ten operators on small tables: brute force, round trips and odd input."""
+
+import collections
+import hashlib
+import math
+import re
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+import regex
+
+from postmill.llm import (
+    bpe,
+    line_dedup,
+    mixing,
+    preferences,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    toxicity,
+    weighted_minhash,
+    winnowing,
+)
+from postmill.llm.columns import table
+from postmill.llm.components import components
+from postmill.llm.queries import ORACLES, QUERIES
+
+FOLDER = Path("/root/testdata/sf0.001")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, Text string, score int, size string"
+LONG = " ".join(f"w{i % 977}" for i in range(30_000))
+NEAR = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen " * 3
+
+pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [
+        (1, "a b c d e f g h i\nsecond line", "en", "x", 9, "q", 1, "s"),
+        (1, "a b c d e f g h i\nsecond line", "en", "x", 9, None, 1, "s"),
+        (2, None, None, None, None, None, None, None),
+        (3, "", "en", "y", 0, "z", 2, "t"),
+        (None, "no id\n\n  \nhere", "de", "x", 3, "z", 2, "t"),
+        (4, LONG, "fr", "y", len(LONG), "z", 2, "t"),
+        (5, LONG, "fr", "x", len(LONG), "z", 2, "t"),
+        (6, NEAR, "fr", "x", 1, "z", 2, "t"),
+        (7, NEAR + "more", "fr", "x", 1, "z", 2, "t"),
+        (None, None, None, None, None, None, None, None),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, str(FOLDER), "documents")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return table(spark, str(FOLDER), "labels")
+
+
+def plain(rows):
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for path in FOLDER.glob("*.parquet"):
+        files = f"{path}/*.parquet" if path.is_dir() else str(path)
+        con.execute(f"create view {path.stem} as select * from '{files}'")
+    got = QUERIES[name](spark, str(FOLDER))
+    cursor = con.execute(ORACLES[name])
+    columns = [column[0] for column in cursor.description]
+    assert sorted(columns) == sorted(got.columns)
+    assert plain(got.select(*columns).collect()) == plain(cursor.fetchall())
+
+
+def test_odd_rows_and_empty_tables(spark, odd, labels):
+    for rows, n in ((odd, 10), (odd.limit(0), 0)):
+        assert quality_rules.judge(rows).count() == n
+        assert quality_classifier.classify(rows, labels).count() == n
+        assert toxicity.tag(rows, labels).count() == n
+        assert mixing.mix(rows).count() == n
+        assert winnowing.edited_fingerprints(rows).count() == n
+        assert winnowing.fingerprints(rows).count() == n
+        assert weighted_minhash.near_duplicate_classes(rows).count() == n
+        deduped = line_dedup.dedup_lines(rows)
+        assert deduped.columns == [*rows.columns, "n_lines", "n_removed"] and deduped.count() == n
+        assert quality_classifier.keep_good(rows, labels.limit(0)).count() == n
+        assert mixing.mixed(rows).columns == rows.columns
+
+
+def test_quality_base_counts(docs):
+    judged = {row["doc_id"]: row for row in quality_rules.judge(docs).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        words = WORD.findall(text or "")
+        seen = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        covered = {j for i in range(len(words) - 4) if seen[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+        row = judged[doc_id]
+        assert (row["n_words"], row["n_repeat_words"]) == (len(words), len(covered))
+
+
+def test_classifier_held_out(spark, docs, labels):
+    learn, rest = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
+    found = quality_classifier.classify(docs, learn).join(rest, "doc_id").select("kept", "quality").collect()
+    assert sum(row["kept"] == bool(row["quality"]) for row in found) >= 0.95 * len(found)
+
+
+def test_sparse_sites_shrink(spark):
+    rows = [("big", "a", 0.9)] * 400 + [("big", "b", 0.2)] * 400 + [("tiny", "c", 0.01)]
+    scored = spark.createDataFrame(rows, "host string, path string, _p double")
+    sites, priors = quality_classifier.site_posteriors(scored, "host", "path", "_p")
+    assert sites.count() == 3 and 1 <= priors["path_weight"] < 100
+
+
+def test_toxicity_learns_words_not_ids():
+    rng = np.random.default_rng(3)
+    vocabulary = [f"word{i}" for i in range(300)]
+    texts, labels = [], []
+    for i in range(400):
+        words = list(rng.choice(vocabulary, 30))
+        toxic = i % 5 == 0
+        if toxic:
+            words[7] = words[19] = "vilething" + str(i % 3)
+        texts.append(" ".join(words[:15]) + "\n" + " ".join(words[15:]))
+        labels.append(int(toxic))
+    field = toxicity.train(*toxicity.label_words(texts, np.array(labels)))
+    scores, spans = toxicity._scored(field, ["word1 word2 vilething9 word3", "word4 word5\nword6", ""])
+    assert scores[0] > 0.7 > scores[1] >= scores[2] == 0.0
+    assert [(s["begin"], s["end"]) for s in spans[0]] == [(12, 22)] and spans[1:] == [[], []]
+
+
+def test_forward_backward_is_exact():
+    rng = np.random.default_rng(0)
+    factors, moves = rng.uniform(0.1, 3, 5), rng.uniform(0.2, 2, (2, 2))
+    ahead, back = toxicity.Chains(np.array([2, 3])).odds(factors, moves)
+    p = ahead * back / (1 + ahead * back)
+    weights = {}
+    for path in np.ndindex(2, 2, 2):
+        value, before = 1.0, 0
+        for place, label in enumerate(path):
+            value *= moves[before, label] * (factors[2 + place] if label else 1)
+            before = label
+        weights[path] = value
+    for place in range(3):
+        assert p[2 + place] == pytest.approx(sum(w for path, w in weights.items() if path[place]) / sum(weights.values()))
+
+
+def test_bpe_equals_the_library(spark, docs):
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    theirs, definition = tokenizers.Tokenizer.from_file(path), bpe.read_definition(path)
+    got = bpe.encode(docs, definition).collect()
+    texts = dict(docs.select("doc_id", "text").collect())
+    for row in got:
+        ids = theirs.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        assert row["ids"] == ids and row["n_tokens"] == len(ids)
+        assert row["decoded_sha256"] == hashlib.sha256(theirs.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    own = bpe.Tokenizer(definition, bpe.character_classes())
+    for text in ("", "it's  we'll\n\n x", "<|endoftext|> a<|endoftext|>", "é中😀 　", "x" * 20_000, " " * 500 + "'s"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+        assert own.decode(own.encode(text)).decode() == text
+    odd = spark.createDataFrame([(1, None), (2, "a b")], "doc_id int, text string")
+    assert {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(odd, definition), definition).collect()} == {1: "", 2: "a b"}
+
+
+def test_pieces_equal_the_pattern():
+    pattern, classes = regex.compile(bpe.PIECES), np.frombuffer(bpe.character_classes(), np.uint8)
+    rng = np.random.default_rng(5)
+    signs = ["a", "'s", "'", "'re", "'l", " ", "\n", "1", "!", "é", "t", "ll"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs, rng.integers(0, 12)))
+        assert bpe.cut(text, classes) == pattern.findall(text)
+
+
+def test_rollup_is_idempotent(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "x", "en", "v", 5), (2, None, "en", "v", 7)], "doc_id int, source string, lang string, tokenizer string, tokens long")
+    rollup = token_counts.Rollup(spark, str(tmp_path))
+    assert rollup.totals().count() == 0
+    assert rollup.commit("a", token_counts.inserts(rows)) and not rollup.commit("a", token_counts.inserts(rows))
+    changed = rows.where("doc_id = 1").selectExpr("*", "3L as new_tokens")
+    assert rollup.commit("b", token_counts.revisions(changed)) and rollup.commit("c", token_counts.deletes(rows.where("doc_id = 2")))
+    assert [tuple(row) for row in rollup.totals().collect()] == [("x", "en", "v", 1, 3)]
+
+
+def test_mixing_meets_targets(spark, docs):
+    rows = mixing.mix(docs).collect()
+    by_source = collections.defaultdict(lambda: [0, 0])
+    for row in rows:
+        assert row["taken"] <= 3 * row["size"]
+        by_source[(row["source_size"], row["target"])][0] += row["taken"]
+    assert sum(target for _, target in by_source) == pytest.approx(sum(row["size"] for row in rows))
+    for (_, target), (taken, _) in by_source.items():
+        assert target - 50 <= taken <= target + 1e-6
+    assert plain(rows) == plain(mixing.mix(docs).collect())
+    assert mixing.mixed(docs).count() == sum(row["times"] for row in rows)
+
+
+def test_knapsack_is_exact_where_it_can_be():
+    taken = mixing.fill(np.array([0, 3, 5, 7]), np.array([4, 10, 10, 10]), 101, 1)
+    assert (taken * [0, 3, 5, 7]).sum() == 101 and (taken <= [4, 10, 10, 10]).all()
+    assert (mixing.fill(np.array([4]), np.array([3]), 7, 1) == [1]).all()
+
+
+def test_winnowing(docs):
+    def brute(text, gram=winnowing.GRAM, window=winnowing.WINDOW):
+        gram = min(gram, len(text))
+        hashes = [int(winnowing.fingerprint(text[i : i + gram]).hashes[0]) for i in range(len(text) - gram + 1)]
+        places = []
+        for i in range(len(hashes) - min(window, len(hashes)) + 1):
+            part = hashes[i : i + window]
+            place = max(j for j, value in enumerate(part) if value == min(part)) + i
+            places += [place] if place not in places[-1:] else []
+        return [(hashes[j], j) for j in places]
+
+    for text in ("abc" * 60, "a" * 100, "x", docs.orderBy("doc_id").first()["text"][:1500]):
+        mark = winnowing.fingerprint(text)
+        assert list(zip(mark.hashes.tolist(), mark.positions.tolist(), strict=True)) == brute(text)
+    texts = [text for _, text in sorted(docs.select("doc_id", "text").collect())]
+    got = [row for row in sorted(winnowing.edited_fingerprints(docs).collect())]
+    for i, row in enumerate(got):
+        half = len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[(i + 1) % len(texts)][:half]
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_preferences_edges(spark):
+    schema = "pair long, turn long, role string, text string, block int"
+    chosen = [(1, 0, "user", "hi", 0), (1, 1, "assistant", "a", 0), (1, 1, "assistant", "a", 0), (2, 0, None, None, 0), (None, 0, "user", "x", 0)]
+    rejected = [(1, 0, "user", "hi", 0), (1, 1, "assistant", "b", 0), (2, 0, None, None, 0)]
+    got = {r["pair"]: r for r in preferences.format_pairs(spark.createDataFrame(chosen, schema), spark.createDataFrame(rejected, schema)).collect()}
+    assert got[1]["prompt"] == "<|user|>\nhi\n" and got[1]["rejected"] == "<|assistant|>\nb\n"
+    begin, end = got[1]["chosen_mask"][0]
+    assert got[1]["chosen"][begin:end] == "a"
+    assert got[2]["n_common"] == 1 and got[2]["chosen"] == "" and set(got) == {1, 2}
+
+
+def test_line_dedup_edges(spark):
+    line = "one two three four five six seven eight nine"
+    rows = [(1, line), (2, line.replace("five", "5")), (3, line + " ten\nunique"), (4, "other\n" + line), (5, "short a"), (6, "short b")]
+    got = dict(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect())
+    assert got == {1: line, 2: "", 3: "unique", 4: "other", 5: "short a", 6: "short b"}
+
+
+def _similar(docs):
+    bags = {}
+    for doc_id, text in docs:
+        words = WORD.findall(text or "")
+        bags[doc_id] = collections.Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else collections.Counter()
+    frequency, n = collections.Counter(s for bag in bags.values() for s in bag), len(bags)
+
+    def idf(shingle):
+        if frequency[shingle] <= max(n / weighted_minhash.RARE, 1):
+            return 1 + weighted_minhash.IDF_STRENGTH
+        return 1 + weighted_minhash.IDF_STRENGTH * min(math.log(n / frequency[shingle]) / math.log(weighted_minhash.RARE), 1)
+
+    weights = {i: {s: count * idf(s) for s, count in bag.items()} for i, bag in bags.items()}
+    for i, a in weights.items():
+        for j, b in weights.items():
+            if i < j and (shared := sum(min(a[s], b[s]) for s in a.keys() & b.keys())):
+                if shared >= weighted_minhash.THRESHOLD * (sum(a.values()) + sum(b.values()) - shared):
+                    yield i, j
+
+
+def test_minhash_equals_brute_force(docs):
+    rows = docs.select("doc_id", "text").collect()
+    parent = {doc_id: doc_id for doc_id, _ in rows}
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    first = {}
+    links = [(first.setdefault(text, doc_id), doc_id) for doc_id, text in sorted(rows)] + list(_similar(rows))
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    got = dict(weighted_minhash.near_duplicate_classes(docs).collect())
+    assert got == {doc_id: root(doc_id) for doc_id in parent}
+
+
+def test_minhash_large_group(spark):
+    base = [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[: i % 100], f"edit{i}", *base[i % 100 :]])) for i in range(90)]
+    rows += [(1000 + i, " ".join(f"z{i}x{j}" for j in range(60))) for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(weighted_minhash.near_duplicate_classes(frame).collect())
+    assert {got[i] for i in range(90)} == {0} and all(got[1000 + i] == 1000 + i for i in range(5))
+    assert weighted_minhash.drop_near_duplicates(frame).count() == 6
+
+
+def test_components(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)], "a long, b long")
+    got = dict(components(links).collect())
+    assert {got[i] for i in range(41)} == {0} and {got[i] for i in (90, 95, 100)} == {90}
