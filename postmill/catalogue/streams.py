@@ -12,7 +12,7 @@ from postmill.plans.load import scratch_store
 from postmill.session import scratch_path
 from postmill.sources.lines import rechunk_lines, read_lines, stream_lines
 from postmill.sources.tables import read_table
-from postmill.streaming.ingest import FILES_PER_TRIGGER, drain, load_stream, recent_duplicates_dropped
+from postmill.streaming.ingest import FILES_PER_TRIGGER, drain, load_stream
 
 
 def _event_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,20 +58,19 @@ def stream_loaded_posts(spark, folder):
     return main["posts"].join(users, "user_id").select("post_id", "post_ext_id", "user_name", "text", "lang_id")
 
 
-def stream_recent_duplicates(spark, folder):
-    lines = stream_lines(spark, _landing(spark, folder), "*.txt", FILES_PER_TRIGGER)
-    posts = good_posts(parse_lines(lines))
-    once = recent_duplicates_dropped(posts, "60 days").select("post_ext_id", "user_ext_id")
-    out = scratch_path(spark, "recent")
-    query = (
-        once.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "recent-log"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema("post_ext_id bigint, user_ext_id bigint").parquet(out)
+def stream_two_sources(spark, folder):
+    """Two landing folders, each with a checkpoint of its own, into one store, in
+    several batches; then the second folder once more, its checkpoint lost."""
+    store, halves = scratch_store(spark, "two"), []
+    for part in (0, 1):
+        path = scratch_path(spark, "half")
+        lines = _event_lines(spark, folder).where(F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(2)) == part)
+        lines.repartition(3).write.text(path)
+        halves.append(path)
+    for path in (*halves, halves[1]):
+        lines = stream_lines(spark, path, "*.txt", 1)
+        load_stream(store, lines, lambda epoch: INGEST_TS, scratch_path(spark, "two-log"))
+    return store.main()["posts"].groupBy("post_ext_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 ENTRIES = {
@@ -85,8 +84,8 @@ ENTRIES = {
         "select row_number() over (order by event_id) post_id, event_id post_ext_id, concat('User ', user_id) user_name,"
         " concat(event_type, ' ', props) as text, 37::bigint lang_id from events where event_type <> 'signup'",
     ),
-    "stream_recent_duplicates": Entry(
-        stream_recent_duplicates,
-        "select event_id post_ext_id, user_id user_ext_id from events where event_type <> 'signup'",
+    "stream_two_sources": Entry(
+        stream_two_sources,
+        "select event_id post_ext_id, 1::bigint n from events where event_type <> 'signup'",
     ),
 }

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.functions.scalar import as_long, epoch_millis_time, or_false, or_zero, post_time
+from postmill.functions.scalar import as_long, epoch_millis_time, evaluated_once, or_false, or_zero, post_time
 from postmill.operators.parse import parse_json
 from postmill.schema import WIDE_SCHEMA
 
 
 def wide_posts(lines: DataFrame) -> DataFrame:
     """Whole documents of the lines that are posts, as struct ``doc`` beside their id."""
-    parsed = lines.select(parse_json(F.col("value"), WIDE_SCHEMA).alias("doc"))
+    parsed = lines.select(evaluated_once(parse_json(F.col("value"), WIDE_SCHEMA)).alias("doc"))
     good = parsed.where(F.col("doc._corrupt").isNull() & F.col("doc.id_str").isNotNull())
-    return good.select(as_long(F.coalesce(F.col("doc.id"), F.lit("0"))).alias("post_ext_id"), "doc")
+    return good.select(as_long(F.coalesce("doc.id", "doc.id_str")).alias("post_ext_id"), "doc")
 
 
 def mentions(posts: DataFrame) -> DataFrame:

@@ -37,11 +37,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         *lines.columns,
         (doc.isNull() | doc["_corrupt"].isNotNull()).alias("_malformed"),
         doc["id_str"].isNull().alias("_no_id"),
-        as_long(_or_zero_text(doc["id"])).alias("post_ext_id"),
+        as_long(F.coalesce(doc["id"], doc["id_str"])).alias("post_ext_id"),
         post_time(doc["created_at"]).alias("created_at"),
         doc["text"].alias("text"),
         doc["lang"].alias("lang"),
-        F.when(user.isNotNull(), as_long(_or_zero_text(user["id"]))).alias("user_ext_id"),
+        as_long(user["id"]).alias("user_ext_id"),
         user["name"].alias("user_name"),
         F.transform(F.coalesce(doc["entities"]["hashtags"]["text"], no_tags), normalise_tag).alias("tags"),
     )
@@ -67,11 +67,6 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return judged.select(*lines.columns, status.alias("status"), "reason", *POST_COLUMNS)
 
 
-def _or_zero_text(value: Column) -> Column:
-    """The default of an absent number, on its text form."""
-    return F.coalesce(value, F.lit("0"))
-
-
 def good_posts(parsed: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """The posts among parsed lines.
 

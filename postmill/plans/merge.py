@@ -72,20 +72,3 @@ def new_pairs(
     rows = linked.select("post_ext_id", "post_id", "tag_id", "_copy")
     numbered = dense_ids(rows, ["post_ext_id", "tag_id", "_copy"], "post_tag_id", base)
     return numbered.select(*MAIN["post_tag"].columns)
-
-
-def merge_all(
-    staging: dict[str, DataFrame], main: dict[str, DataFrame], keep_duplicates: bool = False
-) -> dict[str, DataFrame]:
-    """The rows each main table gains, in the order of the references."""
-    languages = new_languages(staging["lang_stage"], main["languages"])
-    users = new_users(staging["users_stage"], main["users"])
-    posts = new_posts(staging["posts_stage"], main["users"].unionByName(users), main["posts"])
-    tags = new_tags(staging["tags_stage"], main["tags"])
-    pairs = new_pairs(
-        staging["post_tag_stage"],
-        main["posts"].unionByName(posts),
-        main["post_tag"],
-        keep_duplicates=keep_duplicates,
-    )
-    return {"languages": languages, "users": users, "posts": posts, "tags": tags, "post_tag": pairs}

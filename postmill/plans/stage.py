@@ -57,17 +57,3 @@ def stage_post_tags(staged_posts: DataFrame, dictionary: Lookup) -> DataFrame:
     pairs = staged_posts.select("src_file", "post_ext_id", F.posexplode("tags").alias("_nth", "name"))
     coded = encode(pairs, dictionary, "name", ["src_file", "post_ext_id", "_nth"])
     return coded.select(*STAGING["post_tag_stage"].columns)
-
-
-def stage_all(posts: DataFrame, languages: DataFrame, tags: DataFrame) -> dict[str, DataFrame]:
-    """All five staging frames. Every good line feeds languages, users and
-    tags, a duplicate too; posts and pairs come from first lines only."""
-    lang_dict, tag_dict = language_dictionary(posts, languages), tag_dictionary(posts, tags)
-    staged_posts = stage_posts(posts, lang_dict)
-    return {
-        "lang_stage": stage_languages(posts, lang_dict),
-        "users_stage": stage_users(posts),
-        "posts_stage": staged_posts,
-        "post_tag_stage": stage_post_tags(staged_posts, tag_dict),
-        "tags_stage": stage_tags(posts, tag_dict),
-    }

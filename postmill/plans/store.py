@@ -20,6 +20,12 @@ _COMMITS = "kind string, load_id bigint"
 SPECS: dict[str, TableSpec] = {**STAGING, **MAIN, TIMINGS.name: TIMINGS, PROFILES.name: PROFILES}
 
 
+def _only_absent(error: AnalysisException) -> None:
+    """A folder that is not there holds nothing; any other error is one."""
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+
+
 class Store:
     """Tables under one shared folder."""
 
@@ -32,7 +38,8 @@ class Store:
     def _commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-        except AnalysisException:
+        except AnalysisException as error:
+            _only_absent(error)
             return declared_empty(self.spark, {"kind": "string", "load_id": "bigint"})
 
     def marks(self) -> dict[str, int]:
@@ -68,7 +75,8 @@ class Store:
             return empty_table(self.spark, spec)
         try:
             rows = self.spark.read.schema(f"{spec.ddl}, load_id bigint").parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            _only_absent(error)
             return empty_table(self.spark, spec)
         return rows.where((F.col("load_id") > low) & (F.col("load_id") <= high)).drop("load_id")
 

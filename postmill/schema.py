@@ -224,8 +224,8 @@ TIMINGS = TableSpec(
         "profile_id": "string",
         "parent_id": "string",
         "name": "string",
-        "duration_ms": "decimal(9,3)",
-        "start_ms": "decimal(9,3)",
+        "duration_ms": "decimal(18,3)",
+        "start_ms": "decimal(18,3)",
         "is_root": "boolean",
         "depth": "smallint",
         "custom": "string",
@@ -241,7 +241,7 @@ PROFILES = TableSpec(
         "id": "string",
         "root_id": "string",
         "started": "timestamp",
-        "duration_ms": "decimal(7,1)",
+        "duration_ms": "decimal(18,1)",
         "user": "string",
         "machine": "string",
     },

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -40,24 +41,29 @@ def drain(lines: DataFrame, path: str, checkpoint: str) -> None:
     land(lines, path, checkpoint).awaitTermination()
 
 
+def checkpoint_id(store: Store, checkpoint: str) -> str:
+    """The id a stream gave its checkpoint when it first wrote there."""
+    return json.loads(store.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def stage_stream(
     store: Store,
     lines: DataFrame,
     clock: Callable[[int], object],
     checkpoint: str,
-    name: str = "lines",
     on_error: str = "quarantine",
 ) -> StreamingQuery:
     """Every micro-batch is one staging load.
 
-    The commit of a load also marks its batch of the stream ``name`` as done. A
-    batch that failed half way overwrites its own partitions when it runs
-    again, and one that is already committed is skipped. ``clock`` gives the
-    time of intake of a batch.
+    The commit of a load also marks its batch as done, under the identity of the
+    checkpoint, since batches are numbered per checkpoint. A batch that failed
+    half way overwrites its own partitions when it runs again, and one that is
+    already committed is skipped. With a new checkpoint all files come again;
+    the merge knows their posts. ``clock`` gives the time of intake of a batch.
     """
-    done = f"stream:{name}"
 
     def one_batch(batch: DataFrame, epoch: int) -> None:
+        done = f"stream:{checkpoint_id(store, checkpoint)}"
         if epoch < store.committed(done):
             return
         load_id = store.committed("stage") + 1
@@ -76,18 +82,8 @@ def load_stream(
     lines: DataFrame,
     clock: Callable[[int], object],
     checkpoint: str,
-    name: str = "lines",
     on_error: str = "quarantine",
 ) -> int:
     """T4: stage the backlog, and when it is empty merge it once."""
-    stage_stream(store, lines, clock, checkpoint, name, on_error).awaitTermination()
+    stage_stream(store, lines, clock, checkpoint, on_error).awaitTermination()
     return merge_staging(store)
-
-
-def recent_duplicates_dropped(posts: DataFrame, delay: str) -> DataFrame:
-    """T2, weaker form: one copy of a post among those at most ``delay`` apart.
-
-    State stays bounded. The exact form is the anti-join of the merge, which
-    knows every stored post.
-    """
-    return posts.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["post_ext_id"])

@@ -39,9 +39,14 @@ def test_quoted_id_is_good(spark):
 
 def test_absent_members(spark):
     doc = json.loads(post())
-    del doc["entities"], doc["id"], doc["user"]["id"]
+    del doc["entities"], doc["id"]
     row = one(spark, json.dumps(doc))
-    assert (row["status"], row["post_ext_id"], row["user_ext_id"], row["tags"]) == ("good", 0, 0, [])
+    assert (row["status"], row["post_ext_id"], row["tags"]) == ("good", int(doc["id_str"]), [])
+    row = one(spark, json.dumps({**doc, "id_str": "none"}))
+    assert (row["status"], row["reason"]) == ("reject", "bad id")
+    del doc["user"]["id"]
+    row = one(spark, json.dumps(doc))
+    assert (row["status"], row["reason"]) == ("reject", "bad user")
 
 
 @pytest.mark.parametrize("line", ["", '{"limit":{"track":6,"timestamp_ms":"1488384664896"}}', '{"delete":{}}'])

@@ -52,10 +52,19 @@ def test_stream_is_batch_and_a_repeated_batch_is_skipped(spark, tmp_path):
     assert store.committed("stage") == 4
     assert rows(store.read("posts"), "post_ext_id", "text")[1:] == [(2, "two"), (3, "three"), (9, "new")]
 
-    # The log is lost, so all batches come again: every one is known already.
+    # The log is lost while a post arrives: all batches come again, the new one with them.
+    write_files(tmp_path / "in", e=[post(11, "newer", (3, "Cy"))])
     ingest.load_stream(store, stream_lines(spark, folder, files_per_trigger=1), clock, str(tmp_path / "new-log"))
-    assert store.committed("stage") == 4
-    assert store.read("posts").count() == 4
+    assert store.committed("stage") == 9
+    assert [n for n, in rows(store.read("posts"), "post_ext_id")] == [1, 2, 3, 9, 11]
+
+
+def test_two_streams_into_one_store(spark, tmp_path):
+    store = scratch_store(spark, "two-streams")
+    for name, numbers in {"one": (1, 2), "two": (3, 4)}.items():
+        folder = write_files(tmp_path / name, **{f"f{n}": [post(n, f"text {n}", (n, f"U{n}"))] for n in numbers})
+        ingest.load_stream(store, stream_lines(spark, folder, files_per_trigger=1), clock, str(tmp_path / f"log-{name}"))
+    assert [n for n, in rows(store.read("posts"), "post_ext_id")] == [1, 2, 3, 4]
 
 
 def test_failed_batch_is_retried(spark, tmp_path, monkeypatch):
@@ -94,20 +103,3 @@ def test_land_what_is_wanted(spark, tmp_path):
     wanted = tracks(F.col("value"), ["bee"])
     ingest.land(stream_lines(spark, folder), out, str(tmp_path / "log"), wanted).awaitTermination()
     assert rows(spark.read.text(out), "value") == [("BEEs too",), ("a bee",)]
-
-
-def test_drop_recent_duplicates(spark, tmp_path):
-    folder = write_files(tmp_path / "in", **FILES)
-    posts = good_posts(parse_lines(stream_lines(spark, folder)))
-    out = str(tmp_path / "out")
-    query = (
-        ingest.recent_duplicates_dropped(posts, "1 day")
-        .select("post_ext_id")
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", str(tmp_path / "log"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    assert rows(spark.read.schema("post_ext_id bigint").parquet(out), "post_ext_id") == [(1,), (2,), (3,)]
