@@ -124,10 +124,15 @@ def label_words(texts: list[str], toxic: np.ndarray) -> tuple[list[list[str]], l
     n = len(places) + 1
     around = np.concatenate([[n - 1], words, [n - 1]])
     context = (around[:-2] * n + around[1:-1]) * np.int64(1_000_003) + around[2:] if len(words) else words
-    new = np.unique(context, return_index=True)[1]
-    seen = np.unique(owner[new][:, None] * size + table[words[new]])
-    toxic_text = toxic[seen // size]
-    with_it = np.stack([np.bincount(seen[toxic_text == label] % size, minlength=size) for label in (0, 1)]).astype(float)
+    new = np.sort(np.unique(context, return_index=True)[1])
+    with_it = np.zeros((2, size))
+    for begin in range(0, len(texts), 250):  # few texts at a time, for the driver's memory
+        low, high = np.searchsorted(owner[new], [begin, begin + 250])
+        part = new[low:high]
+        seen = np.unique(owner[part][:, None] * size + table[words[part]])
+        toxic_text = toxic[seen // size]
+        for label in (0, 1):
+            with_it[label] += np.bincount(seen[toxic_text == label] % size, minlength=size)
     n_toxic, n_clean = float(toxic.sum()), float((1 - toxic).sum())
     t, c = with_it[1], with_it[0]
 
