@@ -209,6 +209,67 @@ def load_constraint_report(spark, folder):
     return audit.table_report({**store.main(), **store.staging()}, {**MAIN, **STAGING})
 
 
+def broken_constraint_report(spark, folder):
+    """The report over the loaded tables, after one break of each kind was put in."""
+    main = _loaded(spark, folder).main()
+    post, user = F.col("post_id"), F.col("user_id")
+    posts = main["posts"].withColumn("text", F.when(post % 50 == 0, F.repeat("text", 100)).otherwise(F.col("text")))
+    posts = posts.withColumn("user_id", F.when(post % 70 == 0, -user).otherwise(user))
+    users = main["users"].withColumn("name", F.when(user % 3 != 0, F.col("name")))
+    tags = main["tags"].unionByName(main["tags"].where("tag_id % 4 = 0"))
+    return audit.table_report({**main, "posts": posts, "users": users, "tags": tags}, MAIN)
+
+
+_BREAKS = (
+    "select * from (select 'posts' as t, 'too long' as rule, 'text' as \"on\", count(*) as n"
+    f" from {_POSTS} where post_id % 50 = 0"
+    f" union all select 'posts', 'orphan', 'user_id', count(*) from {_POSTS} where post_id % 70 = 0"
+    f" union all select 'users', 'null', 'name', count(*) from {_USERS} where user_id % 3 = 0"
+    f" union all select 'tags', 'repeated', 'tag_id', count(*) from {_FEED_TAG_IDS} where tag_id % 4 = 0) where n > 0"
+)
+
+
+def load_rejects(spark, folder):
+    """The lines set aside, with the post text found in them."""
+    written = F.regexp_extract("value", r'"text":"(Shipped[^"]*)"', 1)
+    return _loaded(spark, folder).read("rejects").select("src_file", "reason", written.alias("text"))
+
+
+_REJECT_TEXTS = (
+    "select concat('feed-', l_linestatus) src_file, case"
+    + "".join(f" when l_quantity = {n} then '{what}'" for n, what in BROKEN.items())
+    + " end reason, case when l_quantity = 44 then '' else concat('Shipped #', split_part(p_name, ' ', 1), ', then #',"
+    " split_part(p_name, ' ', 2), '! for ', cast(cast(l_extendedprice as decimal(18,2)) as varchar)) end as text"
+    " from lineitem join part on p_partkey = l_partkey where l_quantity in (42, 43, 44, 45, 46, 49, 50)"
+)
+
+
+def load_steps(spark, folder):
+    """The stored steps of a load, their parents and the rows each wrote."""
+    steps = _loaded(spark, folder).read("timings")
+    parents = steps.select("profile_id", F.col("id").alias("parent_id"), F.col("name").alias("parent"))
+    counts = F.explode_outer(F.from_json("custom", "map<string,bigint>")).alias("t", "n")
+    return steps.join(parents, ["profile_id", "parent_id"], "left").select("name", "parent", "is_root", counts)
+
+
+_STEPS = (
+    f"with c as ({_COUNTS}) select 'load' as name, null::varchar as parent, true as is_root, null::varchar as t, null::bigint as n"
+    " union all select 'merge', null, true, null, null"
+    " union all select unnest(['parse', 'dictionaries']), 'load', false, null, null"
+    " union all select 'staging', 'load', false, t, n from c where t like '%_stage'"
+    " union all select 'staging', 'load', false, 'rejects', count(*) from lineitem where l_quantity in (42, 43, 44, 45, 46, 49, 50)"
+    " union all select 'merge', 'merge', false, t, case when t = 'languages' then n - 188 else n end from c where t not like '%_stage'"
+)
+
+
+def reset_counts(spark, folder):
+    """K8: after the staging tables have been emptied and purged, the main ones are whole."""
+    store = fresh_load(spark, folder)
+    store.reset("stage")
+    store.purge()
+    return metrics.table_counts({**store.main(), **store.staging()})
+
+
 def audit_tag_not_in_text(spark, folder):
     main = _loaded(spark, folder).main()
     linked = audit.linked_tags(main["post_tag"], main["tags"])
@@ -299,6 +360,10 @@ ENTRIES = {
     "load_constraint_report": Entry(
         load_constraint_report, "select '' as t, '' as rule, '' as \"on\", 0::bigint as n from lineitem where false"
     ),
+    "broken_constraint_report": Entry(broken_constraint_report, _BREAKS),
+    "load_rejects": Entry(load_rejects, _REJECT_TEXTS),
+    "load_steps": Entry(load_steps, _STEPS),
+    "reset_counts": Entry(reset_counts, f"select t, case when t like '%_stage' then 0 else n end n from ({_COUNTS})"),
     "load_resumed": Entry(load_resumed, _RESUMED),
     "audit_tag_not_in_text": Entry(
         audit_tag_not_in_text,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from contextlib import contextmanager
@@ -113,8 +114,13 @@ class StepTimer:
         """Rows counted by :meth:`observe`, once the frame has run."""
         return self._observed[name].get["n"]
 
+    def note(self, name: str) -> None:
+        """Keep the count of an observed frame that has run with the step that is open."""
+        self._open[-1].setdefault("counts", {})[name] = self.observed(name)
+
     def timings(self, spark: SparkSession) -> DataFrame:
-        """One row per step, the root included, in the declared layout."""
+        """One row per step, the root included, in the declared layout; ``custom``
+        holds the noted counts as JSON."""
 
         def ms(value: float) -> Decimal:
             return Decimal(f"{value:.3f}")
@@ -122,7 +128,7 @@ class StepTimer:
         entries = [{**self._root, "took": self._ms()}, *self._done]
         rows = [
             (e["id"], self.profile_id, e["parent"], e["name"], ms(e["took"]), ms(e["start"]), e["depth"] == 0,
-             e["depth"], None)
+             e["depth"], json.dumps(e["counts"], sort_keys=True) if "counts" in e else None)
             for e in entries
         ]
         return spark.createDataFrame(rows, TIMINGS.ddl)

@@ -10,6 +10,7 @@ from postmill.operators.metrics import StepTimer
 from postmill.operators.parse import good_posts, parse_lines, rejects
 from postmill.plans import merge, stage
 from postmill.plans.store import Store
+from postmill.schema import PROFILES, REJECTS, TIMINGS
 from postmill.session import scratch_path, side_by_side
 
 
@@ -26,6 +27,15 @@ def parsed_once(store: Store, lines: DataFrame, ingest_ts, load_id: int) -> Data
     return store.spark.read.schema(schema).parquet(path)
 
 
+def store_steps(store: Store, timer: StepTimer, marks: dict[str, int]) -> dict[str, int]:
+    """Write the steps of a load; returns the marks that make them visible,
+    for the load's own commit."""
+    numbers = {name: marks.get(name, 0) + 1 for name in (TIMINGS.name, PROFILES.name)}
+    store.write(TIMINGS.name, timer.timings(store.spark), numbers[TIMINGS.name])
+    store.write(PROFILES.name, timer.profile(store.spark), numbers[PROFILES.name])
+    return numbers
+
+
 def load_staging(
     store: Store,
     lines: DataFrame,
@@ -35,14 +45,17 @@ def load_staging(
     timer: StepTimer | None = None,
     also: dict[str, int] | None = None,
 ) -> DataFrame:
-    """One load: lines to five staging tables, all or nothing (K5, K6, K9).
+    """One load: lines to five staging tables and the rejects, all or nothing (K5, K6, K9).
 
-    ``also`` are marks raised in the same commit.
+    ``also`` are marks raised in the same commit. The steps and their row counts
+    are stored with the load, unless the caller brings a ``timer`` of its own.
 
     Numbers for new languages and tags follow on from the main tables and from
     earlier loads that still wait for a merge. Returns the rejected lines.
     """
+    own_timer = timer is None
     timer = timer or StepTimer("load")
+    store.require_free("stage", load_id)
     with timer.step("parse"):
         parsed = parsed_once(store, lines, ingest_ts, load_id)
         posts = good_posts(parsed, on_error)
@@ -59,18 +72,22 @@ def load_staging(
     with timer.step("staging"):
 
         def posts_and_pairs() -> None:
-            staged = store.write("posts_stage", stage.stage_posts(posts, lang_dict), load_id)
-            store.write("post_tag_stage", stage.stage_post_tags(staged, tag_dict), load_id)
+            staged = store.write("posts_stage", stage.stage_posts(posts, lang_dict), load_id, timer)
+            store.write("post_tag_stage", stage.stage_post_tags(staged, tag_dict), load_id, timer)
 
-        side_by_side(
+        *_, set_aside = side_by_side(
             store.spark,
             posts_and_pairs,
-            lambda: store.write("users_stage", stage.stage_users(posts), load_id),
-            lambda: store.write("tags_stage", stage.stage_tags(posts, tag_dict), load_id),
-            lambda: store.write("lang_stage", stage.stage_languages(posts, lang_dict), load_id),
+            lambda: store.write("users_stage", stage.stage_users(posts), load_id, timer),
+            lambda: store.write("tags_stage", stage.stage_tags(posts, tag_dict), load_id, timer),
+            lambda: store.write("lang_stage", stage.stage_languages(posts, lang_dict), load_id, timer),
+            lambda: store.write(REJECTS.name, rejects(parsed), load_id, timer),
         )
-        store.publish({"stage": load_id, **(also or {})})
-    return rejects(parsed)
+    steps = store_steps(store, timer, marks) if own_timer else {}
+    store.require_free("stage", load_id)
+    store.publish({"stage": load_id, **steps, **(also or {})})
+    store.remove(f"parsed/load_id={load_id}")
+    return set_aside
 
 
 def _known(main: DataFrame, waiting: DataFrame, key: str, id_col: str) -> DataFrame:
@@ -84,31 +101,34 @@ def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer
 
     A second run finds nothing new. Returns the number of the load.
     """
+    own_timer = timer is None
     timer = timer or StepTimer("merge")
     marks = store.marks()
     load_id = marks.get("main", 0) + 1
     staged, main = store.staging(marks, waiting_only=True), store.main(marks)
 
     def users_posts_and_pairs() -> None:
-        users = store.write("users", merge.new_users(staged["users_stage"], main["users"]), load_id)
+        users = store.write("users", merge.new_users(staged["users_stage"], main["users"]), load_id, timer)
         stored = within_range(main["posts"], staged["posts_stage"], "post_ext_id")
         everyone = main["users"].unionByName(users)
         fresh = merge.new_posts(staged["posts_stage"], everyone, stored, main["posts"])
-        posts = store.write("posts", fresh, load_id)
+        posts = store.write("posts", fresh, load_id, timer)
         pairs = within_range(main["post_tag"], staged["post_tag_stage"], "post_ext_id")
         linked = merge.new_pairs(
             staged["post_tag_stage"], stored.unionByName(posts), pairs, main["post_tag"], keep_duplicates
         )
-        store.write("post_tag", linked, load_id)
+        store.write("post_tag", linked, load_id, timer)
 
     with timer.step("merge"):
         side_by_side(
             store.spark,
             users_posts_and_pairs,
-            lambda: store.write("languages", merge.new_languages(staged["lang_stage"], main["languages"]), load_id),
-            lambda: store.write("tags", merge.new_tags(staged["tags_stage"], main["tags"]), load_id),
+            lambda: store.write("languages", merge.new_languages(staged["lang_stage"], main["languages"]), load_id, timer),
+            lambda: store.write("tags", merge.new_tags(staged["tags_stage"], main["tags"]), load_id, timer),
         )
-    store.publish({"main": load_id, "merged": marks.get("stage", 0)})
+    steps = store_steps(store, timer, marks) if own_timer else {}
+    store.require_free("main", load_id)
+    store.publish({"main": load_id, "merged": marks.get("stage", 0), **steps})
     return load_id
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.operators.joins import Lookup
+from postmill.operators.joins import Lookup, lookup_join
 from postmill.operators.keys import encode, grown_dictionary
 from postmill.operators.pick import first_in_file
 from postmill.schema import STAGING
+from postmill.session import durable
 
 
 def used_tags(posts: DataFrame) -> DataFrame:
@@ -40,9 +41,17 @@ def stage_users(posts: DataFrame) -> DataFrame:
 
 
 def stage_posts(posts: DataFrame, dictionary: Lookup) -> DataFrame:
-    """The first line each file holds of a post, with its language number."""
-    first = first_in_file(posts.drop("user_name"), "post_ext_id").withColumnRenamed("lang", "short_code")
-    coded = encode(first, dictionary, "short_code", ["src_file", "post_ext_id"])
+    """The first line each file holds of a post, with its language number.
+
+    Posts that a file repeats, as a rule few, are found on the keys and go to the
+    lines, whose texts stay where they are. A place occurs once in a file.
+    """
+    lines = posts.drop("user_name").withColumn("_post", F.struct("src_file", "post_ext_id"))
+    places = lines.groupBy("_post").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeated = durable(places.where("_n > 1").drop("_n"))
+    marked = lookup_join(lines, repeated, "_post", ["pos"], "left")
+    first = marked.where(F.col("_first").isNull() | (F.col("pos") == F.col("_first")))
+    coded = encode(first.withColumnRenamed("lang", "short_code"), dictionary, "short_code", ["src_file", "post_ext_id"])
     return coded.withColumnRenamed("short_code", "lang").select(*STAGING["posts_stage"].columns)
 
 

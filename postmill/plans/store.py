@@ -12,12 +12,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.schema import MAIN, PROFILES, STAGING, TIMINGS, TableSpec
+from postmill.operators.metrics import StepTimer
+from postmill.schema import MAIN, PROFILES, REJECTS, STAGING, TIMINGS, TableSpec
 from postmill.sources.tables import declared_empty, empty_table, seed_languages
 
 _COMMITS = "kind string, load_id bigint"
 
-SPECS: dict[str, TableSpec] = {**STAGING, **MAIN, TIMINGS.name: TIMINGS, PROFILES.name: PROFILES}
+SPECS: dict[str, TableSpec] = {
+    **STAGING,
+    **MAIN,
+    **{spec.name: spec for spec in (REJECTS, TIMINGS, PROFILES)},
+}
 
 
 def _only_absent(error: AnalysisException) -> None:
@@ -61,10 +66,17 @@ class Store:
         """Newest finished load of ``stage``, ``main`` or ``merged``."""
         return self.marks().get(kind, 0)
 
+    def require_free(self, kind: str, load_id: int) -> None:
+        """K9: refuse a load number that is published already. A store has one
+        writer at a time; this tells a second one that it came too late."""
+        newest = self.committed(kind)
+        if load_id <= newest:
+            raise RuntimeError(f"{kind} load {load_id} is taken, the newest is {newest}")
+
     # --------------------------------------------------------------- reads
 
     def _kind(self, name: str) -> str:
-        return "main" if name in MAIN else "stage" if name in STAGING else name
+        return "main" if name in MAIN else "stage" if name in STAGING or name == REJECTS.name else name
 
     def read(self, name: str, after: int = 0, marks: dict[str, int] | None = None) -> DataFrame:
         """The committed rows of a table, or those of loads later than ``after``."""
@@ -94,11 +106,17 @@ class Store:
 
     # -------------------------------------------------------------- writes
 
-    def write(self, name: str, rows: DataFrame, load_id: int) -> DataFrame:
+    def write(self, name: str, rows: DataFrame, load_id: int, timer: StepTimer | None = None) -> DataFrame:
         """K5, K6: put the columns of a table, by its own order, into the
-        partition of a load; returns the written rows, read back."""
+        partition of a load; returns the written rows, read back. ``timer``
+        notes how many rows that were."""
         path = f"{self.root}/{name}/load_id={load_id}"
-        rows.select(*SPECS[name].columns).write.mode("overwrite").parquet(path)
+        ordered = rows.select(*SPECS[name].columns)
+        if timer is not None:
+            ordered = timer.observe(ordered, name)
+        ordered.write.mode("overwrite").parquet(path)
+        if timer is not None:
+            timer.note(name)
         return self.spark.read.schema(SPECS[name].ddl).parquet(path)
 
     def reset(self, *kinds: str) -> None:
@@ -114,3 +132,40 @@ class Store:
         self.write("languages", seed_languages(self.spark), load_id)
         kinds = ("main", "stage", TIMINGS.name, PROFILES.name)
         self.publish({**{f"{kind}-reset": marks.get(kind, 0) for kind in kinds}, "main": load_id})
+
+    # ------------------------------------------------------------- removal
+
+    def _folder(self, path: str):
+        """A folder of the store and the file system it is on."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
+        return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def _inside(self, path: str) -> list:
+        folder, files = self._folder(path)
+        return [status.getPath() for status in files.listStatus(folder)] if files.exists(folder) else []
+
+    def remove(self, path: str) -> None:
+        """Remove a folder of the store, if it is there."""
+        folder, files = self._folder(path)
+        files.delete(folder, True)
+
+    def purge(self) -> None:
+        """K8: remove what resets have emptied, and write the commits anew as one file.
+
+        For quiet times: nothing else may read or write the store meanwhile. A
+        purge that is cut short leaves the same marks and may be run again.
+        """
+        marks = self.marks()
+        if not marks:
+            return
+        old = self._inside("commits")
+        self.publish(marks)
+        for file in old:
+            self.remove(f"commits/{file.getName()}")
+        for name in SPECS:
+            emptied = marks.get(f"{self._kind(name)}-reset", 0)
+            for folder in self._inside(name):
+                number = folder.getName().removeprefix("load_id=")
+                if number.isdigit() and int(number) <= emptied:
+                    self.remove(f"{name}/{folder.getName()}")

@@ -17,54 +17,24 @@ INGEST_SCHEMA = f"""
     _corrupt string
 """
 
-_SIZE = "struct<w: int, h: int, resize: string>"
-_MEDIA = (
-    "array<struct<id: string, id_str: string, indices: array<int>, media_url: string,"
-    " media_url_https: string, url: string, display_url: string, expanded_url: string, type: string,"
-    f" sizes: struct<medium: {_SIZE}, thumb: {_SIZE}, small: {_SIZE}, large: {_SIZE}>>>"
-)
-_URLS = "array<struct<url: string, expanded_url: string, display_url: string, indices: array<int>>>"
-_MENTIONS = "array<struct<screen_name: string, name: string, id: string, id_str: string, indices: array<int>>>"
-_ENTITIES = (
-    f"struct<hashtags: {_HASHTAGS}, urls: {_URLS}, user_mentions: {_MENTIONS},"
-    f" symbols: array<string>, media: {_MEDIA}>"
-)
 _USER = (
-    "struct<id: string, id_str: string, name: string, screen_name: string, location: string, url: string,"
-    " description: string, protected: boolean, verified: boolean, followers_count: int, friends_count: int,"
-    " listed_count: int, favourites_count: int, statuses_count: int, created_at: string, utc_offset: int,"
-    " time_zone: string, geo_enabled: boolean, lang: string, contributors_enabled: boolean,"
-    " is_translator: boolean, default_profile: boolean, default_profile_image: boolean>"
+    "struct<id: string, name: string, screen_name: string, location: string, url: string, description: string,"
+    " followers_count: int, friends_count: int, favourites_count: int, statuses_count: int, time_zone: string,"
+    " created_at: string, lang: string>"
 )
-_POINT = "struct<type: string, coordinates: array<double>>"
 _PLACE = (
-    "struct<id: string, url: string, place_type: string, name: string, full_name: string, country_code: string,"
-    " country: string, bounding_box: struct<type: string, coordinates: array<array<array<double>>>>>"
-)
-_EXTENDED = f"struct<media: {_MEDIA}>"
-_NESTED = (
-    "created_at: string, id: string, id_str: string, text: string, display_text_range: array<int>, source: string,"
-    " truncated: boolean, in_reply_to_status_id: string, in_reply_to_user_id: string,"
-    f" in_reply_to_screen_name: string, user: {_USER}, is_quote_status: boolean, retweet_count: int,"
-    f" favorite_count: int, entities: {_ENTITIES}, favorited: boolean, retweeted: boolean,"
-    " possibly_sensitive: boolean, filter_level: string, lang: string"
+    "struct<id: string, place_type: string, name: string, country_code: string,"
+    " bounding_box: struct<coordinates: array<array<array<double>>>>>"
 )
 
-# Whole document, one level of nesting for quoted and repeated posts.
+# The members that the detail tables read; others are skipped by the parser.
 WIDE_SCHEMA = f"""
-    created_at string, id string, id_str string, text string, display_text_range array<int>,
-    source string, truncated boolean, in_reply_to_status_id string, in_reply_to_status_id_str string,
-    in_reply_to_user_id string, in_reply_to_user_id_str string, in_reply_to_screen_name string,
-    user {_USER}, geo {_POINT}, coordinates {_POINT}, place {_PLACE}, contributors string,
-    retweeted_status struct<{_NESTED}, extended_tweet: struct<full_text: string,
-        display_text_range: array<int>, entities: {_ENTITIES}, extended_entities: {_EXTENDED}>>,
-    quoted_status_id string, quoted_status_id_str string,
-    quoted_status struct<{_NESTED}, extended_entities: {_EXTENDED}>,
-    is_quote_status boolean, retweet_count int, favorite_count int,
-    entities {_ENTITIES}, extended_entities {_EXTENDED},
-    favorited boolean, retweeted boolean, possibly_sensitive boolean,
-    filter_level string, lang string, timestamp_ms string,
-    _corrupt string
+    id string, id_str string, user {_USER}, place {_PLACE},
+    coordinates struct<coordinates: array<double>>,
+    entities struct<urls: array<struct<url: string>>, user_mentions: array<struct<screen_name: string>>>,
+    retweet_count int, favorite_count int,
+    truncated boolean, is_quote_status boolean, possibly_sensitive boolean,
+    timestamp_ms string, _corrupt string
 """
 
 # ---------------------------------------------------------------- tables
@@ -217,6 +187,18 @@ MAIN = {
     )
 }
 
+# Lines set aside by a staging load.
+REJECTS = TableSpec(
+    "rejects",
+    {
+        "src_file": "string",
+        "pos": _POS,
+        "reason": "string",
+        "value": "string",
+    },
+    required=("reason",),
+)
+
 TIMINGS = TableSpec(
     "timings",
     {

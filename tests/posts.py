@@ -9,7 +9,7 @@ def post(
     user=(10, "Ann"),
     lang="en",
     tags=(),
-    created_at="Thu Feb 23 13:32:22 +0000 2017",
+    created_at="Thu Mar 14 13:26:53 +0000 2019",
     **members,
 ):
     doc = {

@@ -1,13 +1,19 @@
 """Batch load from files to main tables."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from posts import post, write_files
 
 from postmill.operators.audit import table_report
+from postmill.operators.joins import measured
+from postmill.operators.parse import good_posts, parse_lines
+from postmill.plans import stage
 from postmill.plans.load import load_lines, load_staging, merge_staging, scratch_store
 from postmill.schema import MAIN, STAGING
 from postmill.sources.lines import read_lines
 
-NOON, LATER = "2017-02-23 12:00:00", "2017-02-24 12:00:00"
+NOON, LATER = "2019-03-14 12:00:00", "2019-03-15 12:00:00"
 
 
 def rows(df, *columns):
@@ -22,7 +28,7 @@ def two_files(tmp_path):
             post(1, "again", (10, "Amy"), "xx", ["three"]),
             post(2, "other", (11, "Bob"), "es", []),
             "",
-            '{"limit":{"track":6,"timestamp_ms":"1488384664896"}}',
+            '{"limit":{"track":6,"timestamp_ms":"1552570013000"}}',
             "xxx{}",
         ],
         b=[post(1, "later copy", (10, "Amy"), "aaa", ["one", "four"]), post(3, "third", (12, "Cy"), "fr", ["two"])],
@@ -124,3 +130,30 @@ def test_file_order_does_not_change_dimensions(spark, tmp_path):
         main = store.main()
         tables.append([rows(main[name], *main[name].columns) for name in ("languages", "users", "tags", "post_tag")])
     assert tables[0] == tables[1]
+
+
+def test_rejects_steps_and_purge(spark, tmp_path):
+    store = scratch_store(spark)
+    load_lines(store, read_lines(spark, two_files(tmp_path)), NOON)
+    assert rows(store.read("rejects"), "reason", "value") == [("malformed", "xxx{}")]
+    assert rows(store.read("timings"), "name") == [("dictionaries",), ("load",), ("merge",), ("merge",), ("parse",), ("staging",)]
+    assert store.read("profiles").count() == 2
+    # What was parsed is gone after the commit, and a taken number is refused.
+    assert store._inside("parsed") == []
+    with pytest.raises(RuntimeError, match="stage load 1 is taken"):
+        load_staging(store, read_lines(spark, str(tmp_path / "in")), LATER, 1)
+
+    before, marks = everything(store), store.marks()
+    store.reset("stage")
+    store.purge()
+    assert everything(store) == before and store._inside("posts_stage") == store._inside("rejects") == []
+    assert store.marks() == {**marks, "stage-reset": 1}
+    assert all(df.count() == 0 for df in store.staging().values())
+
+
+def test_texts_are_staged_in_place(spark, tmp_path):
+    lines = read_lines(spark, two_files(tmp_path))
+    posts = good_posts(parse_lines(lines.withColumn("ingest_ts", F.lit(NOON).cast("timestamp"))))
+    staged = stage.stage_posts(posts, measured(spark.sql("select 'en' short_code, 37L lang_id")))
+    assert sorted((row.post_ext_id, row.text) for row in staged.collect()) == [(1, "first"), (1, "later copy"), (2, "other"), (3, "third")]
+    assert "Exchange hashpartitioning" not in staged._jdf.queryExecution().executedPlan().toString()

@@ -263,8 +263,8 @@ def test_subscription(spark):
 
 def test_extras(spark):
     doc = {
-        "created_at": "Thu Feb 23 13:32:22 +0000 2017", "id": 5, "id_str": "5", "text": "t", "lang": "en",
-        "timestamp_ms": "1487856742000", "favorite_count": 3, "quoted_status": {"id": 1, "text": "q"},
+        "created_at": "Thu Mar 14 13:26:53 +0000 2019", "id": 5, "id_str": "5", "text": "t", "lang": "en",
+        "timestamp_ms": "1552570013000", "favorite_count": 3, "quoted_status": {"id": 1, "text": "q"},
         "user": {"id": 9, "name": "Ann", "screen_name": "ann", "followers_count": 4,
                  "created_at": "Mon Jan 01 00:00:00 +0000 2001"},
         "coordinates": {"type": "Point", "coordinates": [-3.5, 55.0]},
@@ -284,7 +284,7 @@ def test_extras(spark):
     details = {row.post_ext_id: row for row in extras.post_details(posts).collect()}
     assert tuple(details[5].coordinates) == (55.0, -3.5) and details[5].favourite_count == 3
     assert details[6].coordinates is None and details[6].retweet_count == 0 and details[6].is_quote is False
-    assert details[5].sent_at.isoformat() == "2017-02-23T13:32:22"
+    assert details[5].sent_at.isoformat() == "2019-03-14T13:26:53"
     people = {row.post_ext_id: row for row in extras.profiles(posts).collect()}
     assert people[5].followers_count == 4 and people[6].followers_count == 0
     assert people[5].created_at.isoformat() == "2001-01-01T00:00:00"

@@ -26,7 +26,7 @@ def test_good_post(spark):
     assert row["status"] == "good" and row["reason"] is None
     assert (row["post_ext_id"], row["user_ext_id"], row["user_name"]) == (12, 7, "Zoë")
     assert (row["text"], row["lang"], row["tags"]) == ("whole text, as sent é", "fr", ["tag", "two"])
-    assert row["created_at"].isoformat() == "2017-02-23T13:32:22"
+    assert row["created_at"].isoformat() == "2019-03-14T13:26:53"
 
 
 def test_tag_of_entities_counts_not_text(spark):
@@ -49,7 +49,7 @@ def test_absent_members(spark):
     assert (row["status"], row["reason"]) == ("reject", "bad user")
 
 
-@pytest.mark.parametrize("line", ["", '{"limit":{"track":6,"timestamp_ms":"1488384664896"}}', '{"delete":{}}'])
+@pytest.mark.parametrize("line", ["", '{"limit":{"track":6,"timestamp_ms":"1552570013000"}}', '{"delete":{}}'])
 def test_skipped(spark, line):
     assert one(spark, line)["status"] == ("notice" if line else "blank")
 
@@ -62,8 +62,8 @@ def test_skipped(spark, line):
         ("null", "malformed"),
         ("[1]", "malformed"),
         ("  ", "malformed"),
-        (post(created_at="Thu Feb 33 13:32:22 +0000 2017"), "bad date"),
-        (post(created_at="Mon Feb 23 13:32:22 +0000 2017"), "bad date"),
+        (post(created_at="Thu Mar 33 13:26:53 +0000 2019"), "bad date"),
+        (post(created_at="Mon Mar 14 13:26:53 +0000 2019"), "bad date"),
         (post(created_at=None), "bad date"),
         (post(id="12x"), "bad id"),
         (json.dumps({**json.loads(post()), "user": None}), "bad user"),
@@ -110,10 +110,10 @@ def test_many_posts(spark):
 
 def test_offsets_and_weekday_of_the_written_date(spark):
     cases = {
-        "Thu Feb 23 13:32:22 +0000 2017": 1487856742,
-        "Fri Feb 24 01:32:22 +1200 2017": 1487856742,
-        "Thu Feb 23 00:02:22 -1330 2017": 1487856742,
-        "Thu Feb 24 01:32:22 +1200 2017": None,
+        "Thu Mar 14 13:26:53 +0000 2019": 1552570013,
+        "Fri Mar 15 01:26:53 +1200 2019": 1552570013,
+        "Wed Mar 13 23:56:53 -1330 2019": 1552570013,
+        "Thu Mar 15 01:26:53 +1200 2019": None,
         "Wed Dec 31 23:59:59 +0000 1969": -1,
         "Sat Feb 29 00:00:00 +0000 2020": 1582934400,
         "Sun Feb 29 00:00:00 +0000 2021": None,
@@ -126,9 +126,9 @@ def test_offsets_and_weekday_of_the_written_date(spark):
 
 
 def test_epoch_millis(spark):
-    df = spark.createDataFrame([("1487856742123",), ("x",), (None,)], "t string")
+    df = spark.createDataFrame([("1552570013123",), ("x",), (None,)], "t string")
     got = [row[0] for row in df.select(epoch_millis_time(F.col("t")).cast("string")).collect()]
-    assert got == ["2017-02-23 13:32:22.123", None, None]
+    assert got == ["2019-03-14 13:26:53.123", None, None]
 
 
 def test_lines_keep_their_order_over_splits(spark, tmp_path):

@@ -12,7 +12,7 @@ from postmill.plans.load import load_lines, scratch_store
 from postmill.sources.lines import read_lines, stream_lines
 from postmill.streaming import ingest
 
-NOON = "2017-02-23 12:00:00"
+NOON = "2019-03-14 12:00:00"
 
 
 def rows(df, *columns):
