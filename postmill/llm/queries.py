@@ -18,7 +18,7 @@ from postmill.llm import (
     weighted_minhash,
     winnowing,
 )
-from postmill.llm.columns import only, table
+from postmill.llm.columns import only, stored, table
 from postmill.llm.metrics import STOP_WORDS
 from postmill.session import scratch_path
 
@@ -42,17 +42,13 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted anew without their symbols. The first batch comes twice."""
     docs = only(table(spark, folder, "documents"), "doc_id", "text", "source", "lang")
     labels = only(table(spark, folder, "labels"), "doc_id", "quality", "toxic")
-    counted = token_counts.counted(docs)
+    bare = F.translate("text", "#*$%&|", "")
+    counted = stored(token_counts.counted(docs, revised=bare), "token-counted")
+    labelled = counted.join(labels, "doc_id")
     rollup = token_counts.Rollup(spark, scratch_path(spark, "token-counts"))
     rollup.commit("arrival", token_counts.inserts(counted))
-    labelled = docs.join(labels, "doc_id")
-    rollup.commit("toxic", token_counts.deletes(token_counts.counted(labelled.where("toxic = 1"))))
-    bad = labelled.where("quality = 0 and toxic = 0")
-    bare = F.regexp_replace("text", "[#*$%&|]", "")
-    before = token_counts.counted(bad)
-    after = token_counts.counted(bad.withColumn("text", bare)).withColumnRenamed("tokens", "new_tokens")
-    keys = ["doc_id", "tokenizer"]
-    rollup.commit("cleaned", token_counts.revisions(before.join(after.select(*keys, "new_tokens"), keys)))
+    rollup.commit("toxic", token_counts.deletes(labelled.where("toxic = 1")))
+    rollup.commit("cleaned", token_counts.revisions(labelled.where("quality = 0 and toxic = 0")))
     rollup.commit("arrival", token_counts.inserts(counted))
     return rollup.totals()
 

@@ -28,13 +28,20 @@ TOKENIZERS = {
 }
 
 
-def counted(docs: DataFrame, versions: dict | None = None) -> DataFrame:
+def counted(docs: DataFrame, versions: dict | None = None, revised: Column | None = None) -> DataFrame:
     """``doc_id, source, lang, tokenizer, tokens`` of every document, for each version.
-    A null text has no tokens; null source or language are groups of their own."""
-    each = [
-        F.struct(F.lit(name).alias("tokenizer"), count(F.col("text")).alias("tokens"))
-        for name, count in (versions or TOKENIZERS).items()
-    ]
+    A null text has no tokens; null source or language are groups of their own.
+
+    ``revised``: what a revision would make of the text; its count is ``new_tokens``.
+    Counts are narrow, so which documents change is best joined to them, not to texts."""
+
+    def entry(name: str, count) -> Column:
+        fields = [F.lit(name).alias("tokenizer"), count(F.col("text")).alias("tokens")]
+        if revised is not None:
+            fields.append(count(revised).alias("new_tokens"))
+        return F.struct(*fields)
+
+    each = [entry(name, count) for name, count in (versions or TOKENIZERS).items()]
     return docs.select("doc_id", "source", "lang", F.inline(F.array(*each)))
 
 
