@@ -41,9 +41,8 @@ def measured_texts(df: DataFrame, text: str, keep: list[str], more: bool = True)
     inner projections, which the optimizer leaves alone because they are used
     more than once. Repeated windows are found through 64-bit hashes; only texts
     in which one repeats have theirs sorted, so a text costs n log n at most.
-    ``n_same_neighbours`` counts words equal to the one before, in texts of which
-    fewer than half of the words are distinct, else 0. A null text counts as
-    empty, its counts are 0.
+    ``n_same_neighbours`` counts words equal to the one before. A null text counts
+    as empty, its counts are 0.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     split = df.select(
@@ -98,9 +97,7 @@ def measured_texts(df: DataFrame, text: str, keep: list[str], more: bool = True)
             F.size(F.array_intersect(F.col("_w"), F.array(*(F.lit(word) for word in STOP_WORDS))))
             .cast("bigint")
             .alias("n_stop_words"),
-            F.when(F.size(F.array_distinct("_w")) * 2 < F.size("_w"), F.size(same).cast("bigint"))
-            .otherwise(F.lit(0).cast("bigint"))
-            .alias("n_same_neighbours"),
+            F.size(same).cast("bigint").alias("n_same_neighbours"),
             F.regexp_count("_t", F.lit(r"\p{Lu}")).cast("bigint").alias("n_capitals"),
             _signs(F.col("_t"), "!").alias("n_exclamations"),
             F.size(F.filter("_lines", lambda line: F.btrim(line).rlike(r"^[|*•-]|\|$"))).cast("bigint").alias("n_bar_lines"),

@@ -105,6 +105,20 @@ def test_quality_base_counts(docs):
         assert (row["n_words"], row["n_repeat_words"]) == (len(words), len(covered))
 
 
+def test_same_neighbours_of_every_text(spark, docs):
+    doubled = " ".join(f"word{i} word{i}" for i in range(10))
+    extra = spark.createDataFrame([(-1, doubled), (-2, "a a"), (-3, "a"), (-4, None)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(extra)
+    judged = {row["doc_id"]: row for row in quality_rules.judge(rows).collect()}
+    for doc_id, text in rows.collect():
+        words = WORD.findall(text or "")
+        same = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        row = judged[doc_id]
+        assert row["n_same_neighbours"] == same
+        assert ("same_neighbours" in row["failed"]) == (len(words) > 0 and same / len(words) > 0.3)
+    assert judged[-1]["failed"] == ["same_neighbours"] and not judged[-1]["base_failed"]
+
+
 def test_classifier_held_out(spark, docs, labels):
     learn, rest = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
     found = quality_classifier.classify(docs, learn).join(rest, "doc_id").select("kept", "quality").collect()
