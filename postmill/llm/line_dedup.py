@@ -2,8 +2,8 @@
 
 A line repeats an earlier one if it equals it or is one word edit away (a word
 put in, left out or changed) while both have ``NEAR_WORDS`` words or more. Lines
-come in the order of (document id, place in the document). A line goes as soon
-as any earlier line, kept or not, is that near; the earliest stays.
+come in the order of (document id, hash of its text, place in the document). A
+line goes as soon as any earlier line, kept or not, is that near; the earliest stays.
 
 Two lines are one edit apart exactly if leaving a word out of one gives the
 other, or leaving the word at one place out of both gives the same. So each line
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.columns import BLANKS, only, stored, with_columns_aside, words
+from postmill.llm.columns import BLANKS, only, stored, text_hash, with_columns_aside, words
 from postmill.operators.joins import fits_broadcast
 
 #: Lines of fewer words repeat another only if they are equal.
@@ -34,6 +34,11 @@ def _line_key(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("_a"), F.xxhash64(line, F.lit(7)).alias("_b")]
 
 
+def _document(row_id: Column, text: Column) -> Column:
+    """What tells documents apart; a null id equals a null id here."""
+    return F.struct(row_id.alias("k"), text_hash(text).alias("h"))
+
+
 def _masked(value: Column) -> Column:
     return value.bitwiseAND(F.lit(_MASK))
 
@@ -59,18 +64,21 @@ def _half_keys(words_col: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line that has a word: id, place from 0, the line and its key."""
-    split = F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("_pos", "_line")
-    lines = only(docs, id_col, text_col).select(F.col(id_col).alias("_id"), split)
+    """One row per line that has a word: its document (id and hash of the text, as an
+    id may be null or stand for several texts), place from 0, the line and its key."""
+    whole = F.coalesce(F.col(text_col), F.lit("")).alias("_text")
+    read = only(docs, id_col, text_col).select(F.col(id_col).alias("_id"), whole)
+    hashed = read.select(_document(F.col("_id"), F.col("_text")).alias("_doc"), "_text")
+    lines = hashed.select("_doc", F.posexplode(F.split("_text", "\n")).alias("_pos", "_line"))
     has_word = F.btrim(F.col("_line"), F.lit(BLANKS)) != ""
-    return lines.where(has_word).select("_id", "_pos", "_line", *_line_key(F.col("_line")))
+    return lines.where(has_word).select("_doc", "_pos", "_line", *_line_key(F.col("_line")))
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
     """One row per distinct line: key, first place, number of places, and the half
     keys of lines long enough to have neighbours (else null)."""
     with_words = lines.select(
-        "_a", "_b", F.struct(F.col("_id"), F.col("_pos")).alias("_at"), words(F.col("_line")).alias("_w")
+        "_a", "_b", F.struct("_doc", "_pos").alias("_at"), words(F.col("_line")).alias("_w")
     )
     halves = F.when(F.size("_w") >= NEAR_WORDS, _half_keys(F.col("_w")))
     keyed = with_words.select("_a", "_b", "_at", halves.alias("_halves"), F.size("_w").alias("_n"))
@@ -138,7 +146,7 @@ def _near_repeats(lines: DataFrame, distinct: DataFrame) -> DataFrame:
         F.struct("_a", "_b").alias("_key"), F.col("_first").alias("_at")
     )
     firsts = stored(firsts, "line-firsts")
-    placed = lines.select(F.struct("_id", "_pos").alias("_at"), "_line")
+    placed = lines.select(F.struct("_doc", "_pos").alias("_at"), "_line")
     found = placed.join(F.broadcast(firsts) if fits_broadcast(firsts) else firsts, "_at")
     live = stored(
         found.dropDuplicates(["_key"]).select("_key", F.col("_at").alias("_first"), words(F.col("_line")).alias("_w")),
@@ -167,11 +175,13 @@ def _near_repeats(lines: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Places of the lines that repeat an earlier one: ``id_col``, ``places`` (array).
+    """Places of the lines that repeat an earlier one: ``id_col``, ``text_hash`` (struct),
+    ``places`` (array).
 
-    Lines without a word are never repeats. Rows with the same id are read as one
-    document: what stands at the same place in two of them is no repeat of
-    itself. A null id sorts first, like any other value of its own.
+    Lines without a word are never repeats. Rows with the same id and the same text
+    are one document, so what stands at the same place in two of them is no repeat
+    of itself; different texts under one id, or without id, are documents of their
+    own. A null id sorts first.
     """
     lines = lines_of(docs, id_col, text_col)
     distinct = stored(distinct_lines(lines), "lines")
@@ -183,11 +193,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("_key")
         .agg(F.max("_first").alias("_first"), F.max("_near").alias("_near"))
     )
-    places = lines.select(F.struct("_a", "_b").alias("_key"), "_id", "_pos")
+    places = lines.select(F.struct("_a", "_b").alias("_key"), "_doc", "_pos")
     gone = places.join(marked, "_key").where(
-        F.col("_near") | ~F.struct("_id", "_pos").eqNullSafe(F.col("_first"))
+        F.col("_near") | ~F.struct("_doc", "_pos").eqNullSafe(F.col("_first"))
     )
-    return gone.groupBy(F.col("_id").alias(id_col)).agg(F.sort_array(F.collect_set("_pos")).alias("places"))
+    found = gone.groupBy("_doc").agg(F.sort_array(F.collect_set("_pos")).alias("places"))
+    return found.select(F.col("_doc.k").alias(id_col), F.col("_doc.h").alias("text_hash"), "places")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,10 +211,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     aside, old, new = with_columns_aside(docs)
     key, text = new[id_col], new[text_col]
-    places = repeated_lines(docs, id_col, text_col).select(
-        F.struct(F.col(id_col).alias("k")).alias("_doc"), F.col("places").alias("_places")
-    )
-    both = aside.withColumn("_doc", F.struct(F.col(key).alias("k"))).join(places, "_doc", "left")
+    places = repeated_lines(docs, id_col, text_col).toDF("k", "h", "_places").select(F.struct("k", "h").alias("_doc"), "_places")
+    both = aside.withColumn("_doc", _document(F.col(key), F.col(text))).join(places, "_doc", "left")
     split = both.select(
         *aside.columns,
         F.coalesce("_places", F.array().cast("array<int>")).alias("_gone"),

@@ -23,7 +23,7 @@ from postmill.llm import (
     weighted_minhash,
     winnowing,
 )
-from postmill.llm.columns import table
+from postmill.llm.columns import table, text_hash
 from postmill.llm.components import components
 from postmill.llm.queries import ORACLES, QUERIES
 
@@ -261,6 +261,56 @@ def test_line_dedup_edges(spark):
     assert got == {1: line, 2: "", 3: "unique", 4: "other", 5: "short a", 6: "short b"}
 
 
+def _deduped(rows):
+    """Brute force over distinct (id, text) in the order of their documents: by row, the
+    text left, the lines with a word, the lines removed."""
+
+    def near(a, b):
+        if a == b:
+            return True
+        a, b = sorted((WORD.findall(a), WORD.findall(b)), key=len)
+        if len(a) < 8 or len(b) - len(a) > 1:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+        return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    seen, result = [], {}
+    for row in rows:
+        lines, gone = (row[1] or "").split("\n"), set()
+        for place, line in enumerate(lines):
+            if WORD.search(line):
+                if any(near(line, other) for other in seen):
+                    gone.add(place)
+                seen.append(line)
+        left = "\n".join(line for place, line in enumerate(lines) if place not in gone) if gone else row[1]
+        result[row] = (left, sum(bool(WORD.search(line)) for line in lines), len(gone))
+    return result
+
+
+def test_line_dedup_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(11)
+    base = [[f"w{i}x{j}" for j in range(10)] for i in range(12)]
+    rows = []
+    for n in range(60):
+        lines = []
+        for place in range(5):
+            words = list(base[rng.integers(12)]) if rng.random() < 0.5 else [f"own{n}x{place}x{j}" for j in range(9)]
+            if rng.random() < 0.4:
+                words[rng.integers(len(words))] = f"edit{n}x{place}"
+            lines.append(" ".join(words))
+        rows.append((None if n % 3 == 0 else int(n % 7), "\n".join(lines)))
+    rows += [rows[0], rows[1], (None, None), (3, ""), (3, None)]
+    frame = spark.createDataFrame(rows, "id long, t string")
+    hashed = frame.select("id", "t", text_hash(frame["t"]).alias("h")).distinct().collect()
+    order = sorted(hashed, key=lambda r: (r["id"] is not None, r["id"] or 0, tuple(r["h"])))
+    expected = _deduped([(r["id"], r["t"]) for r in order])
+    got = line_dedup.dedup_lines(frame.selectExpr("*", "t as was"), "id", "t").collect()
+    assert len(got) == len(rows)
+    for row in got:
+        assert (row["t"], row["n_lines"], row["n_removed"]) == expected[row["id"], row["was"]]
+
+
 def _similar(docs):
     bags = {}
     for doc_id, text in docs:
