@@ -27,13 +27,14 @@ all the others. Nobody else in it can add a link between classes.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postmill.llm.columns import only, stored, text_hash, with_columns_aside
@@ -387,7 +388,7 @@ def _similarities(a: pa.Array, b: pa.Array, weights: Weights) -> np.ndarray:
     return shared / np.maximum(total - shared, 1e-12)
 
 
-#: Ids from here on stand for null ids, one per text.
+#: Ids from here on stand for null ids and ids of several texts, one per text.
 _NAMELESS = 1 << 62
 
 
@@ -399,18 +400,48 @@ def near_duplicate_classes(
     Equal texts are always one class. A null text counts as empty; texts without
     words are near only to equal ones. A row without id has the class of its
     text, null if nobody in it has an id. Repeated rows each get their class;
-    different texts under one id are taken for one document. An empty table
-    gives an empty result; further columns are not looked at.
+    different texts under one id are documents of their own, so that id may be
+    the smallest of several classes. An empty table gives an empty result;
+    further columns are not looked at.
     """
+    rows, several = _rooted(docs, id_col, text_col, threshold)
+    if not several:
+        return rows.select(F.col("doc").alias(id_col), F.when(F.col("root") < _NAMELESS, F.col("root")).alias("class_id"))
+    rows = stored(rows, "dup-rooted")
+    least = rows.groupBy("root").agg(F.min(F.col("doc").cast("bigint")).alias("class_id"))
+    return rows.join(least, "root").select(F.col("doc").alias(id_col), "class_id")
+
+
+def _numbered(rows: DataFrame, shared: DataFrame | None, hash_col: Column) -> DataFrame:
+    """Add ``id``, a number of the row's text: its ``doc``, unless that is null or stands
+    for several texts; then one made from the text."""
+    own = F.col("doc").cast("bigint")
+    stand_in = F.lit(_NAMELESS) + hash_col.bitwiseAND(F.lit(_NAMELESS - 1))
+    if shared is None:
+        return rows.withColumn("id", F.coalesce(own, stand_in))
+    joined = rows.join(shared, own == F.col("_shared"), "left")
+    return joined.withColumn("id", F.coalesce(F.when(F.col("_shared").isNull(), own), stand_in)).drop("_shared")
+
+
+def _rooted(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, bool]:
+    """One row per row of ``docs``: its id ``doc``, the hash ``key`` of its text and the
+    ``root`` of its class, a number no other class has; and whether some id stands
+    for several texts. If none does, a root is the smallest id of its class."""
     whole = F.coalesce(F.col(text_col), F.lit(""))
-    stand_in = F.lit(_NAMELESS) + F.xxhash64(whole).bitwiseAND(F.lit(_NAMELESS - 1))
-    texts = only(docs, id_col, text_col).select(
-        F.col(id_col).alias("doc"), F.coalesce(F.col(id_col).cast("bigint"), stand_in).alias("id"), whole.alias("text")
+    read = only(docs, id_col, text_col).select(F.col(id_col).alias("doc"), whole.alias("text"))
+    keyed = stored(read.select("doc", text_hash(F.col("text")).alias("key")), "dup-keys")
+    ranges = keyed.groupBy(F.col("doc").cast("bigint").alias("_shared")).agg(
+        *(how(f"key.{half}").alias(f"{name}_{half}") for half in "ab" for name, how in (("low", F.min), ("high", F.max)))
     )
+    differ = F.col("_shared").isNotNull() & ((F.col("low_a") < F.col("high_a")) | (F.col("low_b") < F.col("high_b")))
+    shared = stored(ranges.where(differ).select("_shared"), "dup-shared-ids")
+    several = not shared.isEmpty()
+    side = (F.broadcast(shared) if fits_broadcast(shared) else shared) if several else None
+    texts = _numbered(read, side, F.xxhash64("text"))
     # Equal texts are one text, named by the smallest id among them.
-    keyed = stored(texts.select("doc", "id", text_hash(F.col("text")).alias("key")), "dup-keys")
+    keyed = _numbered(keyed, side, F.col("key.a"))
     same = keyed.groupBy("key").agg(F.min("id").alias("rep"))
-    members = stored(keyed.join(same, "key").select("doc", "id", "rep"), "dup-members")
+    members = stored(keyed.join(same, "key").select("doc", "key", "id", "rep"), "dup-members")
     firsts = members.where("id = rep").select("id").distinct()
 
     weights = weigh(texts)
@@ -427,20 +458,36 @@ def near_duplicate_classes(
     if not more.isEmpty():
         classes = components(links.select("a", "b").unionByName(more))
     found = members.join(classes.withColumnRenamed("node", "rep"), "rep", "left")
-    root = F.coalesce("root", "rep")
-    return found.select(F.col("doc").alias(id_col), F.when(root < _NAMELESS, root).alias("class_id"))
+    return found.select("doc", "key", F.coalesce("root", "rep").alias("root")), several
 
 
 def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each class, all columns kept.
+    """One row of ``docs`` per class, all columns kept: that with the smallest id.
 
-    Rows that repeat that id all stay, as do rows without an id and a class.
+    Rows without id come after all others. Of several texts of a class under one
+    id, the first by hash stays; of rows equal in id and text, the first by a hash
+    of all columns.
     """
-    classes = near_duplicate_classes(docs, id_col, text_col, threshold)
-    gone = classes.where(F.col("class_id").isNotNull() & (F.coalesce(F.col(id_col) != F.col("class_id"), F.lit(True))))
-    ids = gone.select(F.col(id_col).alias("_gone")).where(F.col("_gone").isNotNull()).distinct()
+    rows, _ = _rooted(docs, id_col, text_col, threshold)
+    order = F.struct(F.col("doc").isNull().alias("last"), F.col("doc").alias("k"), F.col("key").alias("h"))
+    held = stored(rows.groupBy("root", order.alias("_at")).agg(F.count(F.lit(1)).alias("_n")), "dup-held")
+    best = held.groupBy("root").agg(F.min("_at").alias("_best"), F.count(F.lit(1)).alias("_members"))
+    others = held.join(best.where("_members > 1"), "root").where("_at <> _best")
+    doc = F.struct("_at.k", "_at.h").alias("_doc")
+    gone, often = stored(others.select(doc), "dup-gone"), stored(held.where("_n > 1").select(doc), "dup-often")
+
+    def near(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if fits_broadcast(side) else side
+
     aside, old, new = with_columns_aside(docs)
-    gone_ids = F.broadcast(ids) if fits_broadcast(ids) else ids
-    return aside.join(gone_ids, F.col(new[id_col]) == F.col("_gone"), "left_anti").toDF(*old)
+    key = F.struct(F.col(new[id_col]).alias("k"), text_hash(F.col(new[text_col])).alias("h"))
+    kept = aside.withColumn("_doc", key).join(near(gone), "_doc", "left_anti")
+    if not often.isEmpty():
+        side = near(often)
+        hashed = [f.name for f in aside.schema.fields if not {"map", "variant"} & set(re.findall(r"\w+", f.dataType.simpleString()))]
+        first = Window.partitionBy("_doc").orderBy(F.xxhash64(*hashed))
+        one = kept.join(side, "_doc", "left_semi").withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
+        kept = kept.join(side, "_doc", "left_anti").unionByName(one)
+    return kept.select(*aside.columns).toDF(*old)

@@ -357,6 +357,24 @@ def test_minhash_large_group(spark):
     assert weighted_minhash.drop_near_duplicates(frame).count() == 6
 
 
+def test_drop_near_duplicates_null_and_repeated_ids(spark):
+    def text(name, edit=None):
+        words = [f"{name}{j}" for j in range(120)]
+        return " ".join(words if edit is None else [*words[:60], edit, *words[61:]])
+
+    rows = [(1, text("a"), "x"), (2, text("a", "edit"), "x"), (2, text("b"), "x"), (2, text("c"), "x"), (3, text("c"), "x")]
+    rows += [(None, text("a"), "x")] * 3 + [(None, text("d"), "x")] * 40 + [(None, text("d", "edit"), "x")]
+    rows += [(7, text("e"), "x"), (7, text("e"), "y"), (7, text("e"), "x"), (8, text("e", "edit"), "x")]
+    rows += [(9, text("f"), "x"), (9, text("f", "edit"), "x"), (None, None, "x"), (None, "", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = weighted_minhash.drop_near_duplicates(frame).collect()
+    stems = collections.Counter((row["doc_id"], (row["text"] or "")[:1]) for row in left)
+    assert stems == {(1, "a"): 1, (2, "b"): 1, (2, "c"): 1, (None, "d"): 1, (7, "e"): 1, (9, "f"): 1, (None, ""): 1}
+    assert set(map(tuple, left)) <= set(rows)
+    got = collections.Counter((row["doc_id"], row["class_id"]) for row in weighted_minhash.near_duplicate_classes(frame).collect())
+    assert got == {(1, 1): 1, (2, 1): 1, (2, 2): 2, (3, 2): 1, (None, 1): 3, (None, None): 43, (7, 7): 3, (8, 7): 1, (9, 9): 2}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)], "a long, b long")
     got = dict(components(links).collect())
