@@ -29,7 +29,13 @@ def dense_ids(rows: DataFrame, key: str | list[str], id_col: str, base: int = 0)
     more than its range; the driver sees one number per partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    placed = durable(rows.orderBy(*keys)).withColumn("_place", F.monotonically_increasing_id())
+    return numbered(durable(rows.orderBy(*keys)), id_col, base)
+
+
+def numbered(rows: DataFrame, id_col: str, base: int = 0) -> DataFrame:
+    """Number the rows of a checkpoint or another frame whose partitions never change,
+    in their order there; nothing is shuffled."""
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
     part = F.shiftrightunsigned("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_part").collect()
