@@ -39,16 +39,17 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Totals after three batches: all documents come, toxic ones go, bad ones are
-    counted anew without their symbols. The first batch comes twice."""
+    counted anew without their symbols. The first batch comes twice. Of several
+    labels of a document the worst counts."""
     docs = only(table(spark, folder, "documents"), "doc_id", "text", "source", "lang")
-    labels = only(table(spark, folder, "labels"), "doc_id", "quality", "toxic")
+    labels = token_counts.worst_labels(table(spark, folder, "labels"))
     bare = F.translate("text", "#*$%&|", "")
     counted = stored(token_counts.counted(docs, revised=bare), "token-counted")
     labelled = counted.join(labels, "doc_id")
     rollup = token_counts.Rollup(spark, scratch_path(spark, "token-counts"))
     rollup.commit("arrival", token_counts.inserts(counted))
     rollup.commit("toxic", token_counts.deletes(labelled.where("toxic = 1")))
-    rollup.commit("cleaned", token_counts.revisions(labelled.where("quality = 0 and toxic = 0")))
+    rollup.commit("cleaned", token_counts.revisions(labelled.where("quality = 0 and coalesce(toxic, 0) <> 1")))
     rollup.commit("arrival", token_counts.inserts(counted))
     return rollup.totals()
 
@@ -123,7 +124,9 @@ ORACLES = {
     "op3_token_counts": f"""
         with d as (
             select d.source, d.lang, case when l.quality = 0 then regexp_replace(d.text, '[#*$%&|]', '', 'g') else d.text end as t
-            from documents d left join labels l using (doc_id) where coalesce(l.toxic, 0) <> 1
+            from documents d left join (
+                select doc_id, min(quality) as quality, max(toxic) as toxic from labels group by doc_id
+            ) l using (doc_id) where coalesce(l.toxic, 0) <> 1
         ),
         c as (
             select source, lang, 'words/1' as tokenizer, len(regexp_extract_all(coalesce(t, ''), '{_WORDS}')) as n from d
@@ -201,8 +204,7 @@ ORACLES = {
                 coalesce(repeated.n, 0) as n_repeat_words,
                 len(t) as n_chars, len(lines) as n_lines,
                 len(list_intersect(list_distinct(w), {_STOPS})) as n_stop_words,
-                case when len(list_distinct(w)) * 2 < len(w)
-                    then len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) else 0 end as n_same_neighbours,
+                len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as n_same_neighbours,
                 len(t) - len(regexp_replace(t, '\\p{{Lu}}', '', 'g')) as n_capitals,
                 len(t) - len(replace(t, '!', '')) as n_exclamations,
                 len(list_filter(lines, lambda l: regexp_matches(trim(l), '^[|*•-]|\\|$'))) as n_bar_lines

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm.columns import words
+from postmill.llm.columns import only, words
 
 GROUP = ("source", "lang", "tokenizer")
 _SCHEMA = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
@@ -30,7 +30,9 @@ TOKENIZERS = {
 
 def counted(docs: DataFrame, versions: dict | None = None, revised: Column | None = None) -> DataFrame:
     """``doc_id, source, lang, tokenizer, tokens`` of every document, for each version.
-    A null text has no tokens; null source or language are groups of their own.
+    A null text has no tokens, a text of any length is counted whole; null source or
+    language are groups of their own; repeated rows count as often as they come; an
+    empty table gives an empty result; further columns are not looked at.
 
     ``revised``: what a revision would make of the text; its count is ``new_tokens``.
     Counts are narrow, so which documents change is best joined to them, not to texts."""
@@ -42,7 +44,15 @@ def counted(docs: DataFrame, versions: dict | None = None, revised: Column | Non
         return F.struct(*fields)
 
     each = [entry(name, count) for name, count in (versions or TOKENIZERS).items()]
-    return docs.select("doc_id", "source", "lang", F.inline(F.array(*each)))
+    return only(docs, "doc_id", "source", "lang", "text").select("doc_id", "source", "lang", F.inline(F.array(*each)))
+
+
+def worst_labels(labels: DataFrame) -> DataFrame:
+    """One row per labelled document: ``quality`` is the lowest it was given, ``toxic``
+    the highest. A row twice in a batch of changes would count twice, so repeated
+    labels must not repeat documents."""
+    given = only(labels, "doc_id", "quality", "toxic").where(F.col("doc_id").isNotNull())
+    return given.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
 
 
 def _signed(rows: DataFrame, docs: int, tokens: Column) -> DataFrame:
