@@ -10,8 +10,8 @@ exact weighted Jaccard similarity, and verified links join into classes.
 Document frequencies. Frequencies count for shingles in more than 1 of
 ``RARE`` documents; rarer ones all have the top weight, so there are at most
 ``RARE`` times the mean number of shingles of those. They are counted exactly in two
-passes: a shingle that is that frequent overall is so in one of the chunks of
-documents at least, so chunks name candidates, which then are counted over all.
+passes: a shingle that is that frequent overall is in more than an equal share of so many
+texts in one chunk at least, so chunks name candidates, which then are counted over all.
 The weight falls from ``1 + IDF_STRENGTH`` to 1 only, so that copies
 in a group of thousands, whose shingles are frequent for that very reason,
 stay about as similar as they are by shingles alone.
@@ -48,6 +48,8 @@ BANDS, ROWS = 8, 3
 #: Texts in a group of over SMALL_GROUP are banded anew, more sharply, as what they share may be one passage.
 SHARP_BANDS, SHARP_ROWS = 16, 6
 RARE = 1000
+#: Chunks hold so many times RARE texts on average.
+CHUNK = 20
 IDF_STRENGTH = 0.25
 SMALL_GROUP = 24
 LEADERS = 2
@@ -55,6 +57,8 @@ BLOCK = 200
 
 #: Few texts are hashed at a time, whatever the size of a batch, unless one is larger.
 _BYTES_AT_ONCE = 4_000_000
+#: A round of counting in a chunk takes at least so many shingles, and ``RARE`` texts.
+_SHINGLES_AT_ONCE = 1_000_000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -124,30 +128,71 @@ def _signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.view(np.int64))
 
 
+class _Survivors:
+    """Shingles that may be in more than ``most`` of a chunk's texts, with upper bounds.
+
+    After each round of texts those go that can have been in no more texts than
+    there were rounds, which lifts the bound of any that come back by so many.
+    Rounds that drop end at ``most``, so none in more texts is ever lost.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.most, self.rounds = most, 0
+        self.hashes, self.upper = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, parts: list[np.ndarray]) -> None:
+        """One round: the distinct shingles of each of some texts."""
+        new, counts = np.unique(np.concatenate(parts), return_counts=True)
+        at = np.searchsorted(self.hashes, new)
+        if len(self.hashes):
+            known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == new
+            self.upper[at[known]] += counts[known]
+            new, counts, at = new[~known], counts[~known], at[~known]
+        self.hashes, self.upper = np.insert(self.hashes, at, new), np.insert(self.upper, at, counts + self.rounds)
+        if self.rounds < self.most:
+            self.rounds += 1
+            self._keep(self.rounds)
+
+    def _keep(self, above: int) -> None:
+        stay = self.upper > above
+        self.hashes, self.upper = self.hashes[stay], self.upper[stay]
+
+    def found(self) -> np.ndarray:
+        self._keep(self.most)
+        return self.hashes
+
+
 def frequent_shingles(texts: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document frequency of the shingles in over ``n_docs / RARE`` texts, exact.
 
-    Two scans. A task is one chunk; chunks are joined, without a shuffle, until
-    each holds ``2 * RARE`` texts or so.
+    Two scans. A task is one chunk; chunks are joined, without a shuffle, until they
+    hold ``CHUNK * RARE`` texts on average. A shingle in more than ``n_docs / RARE`` texts
+    is in more than an equal share of that, ``CHUNK`` at least, in some chunk.
     """
-    chunks = max(1, min(texts.rdd.getNumPartitions(), n_docs // (2 * RARE)))
-    together = texts.coalesce(chunks)
+    chunks = max(1, min(texts.rdd.getNumPartitions(), n_docs // (CHUNK * RARE)))
+    least = max(n_docs / RARE, 1)
+    most = max(1, int(n_docs / RARE / chunks))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, n = [], 0
+        survivors, parts, held, n = _Survivors(most), [], 0, 0
         for piece in _pieces(batches):
-            n += piece.num_rows
             parts.append(_shingles(piece.column("text"))[0])
+            held, n = held + len(parts[-1]), n + piece.num_rows
+            if held >= _SHINGLES_AT_ONCE and n >= RARE:
+                survivors.add(parts)
+                parts, held, n = [], 0, 0
         if parts:
-            hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.record_batch([_signed(hashes[(counts >= max(n / RARE, 2)) | ((n <= RARE) & (n_docs > RARE))])], names=["s"])
+            survivors.add(parts)
+        yield pa.record_batch([_signed(survivors.found())], names=["s"])
 
-    named = stored(together.mapInArrow(candidates, "s bigint").distinct(), "shingle-candidates")
-    least = max(n_docs / RARE, 1)
+    named = stored(texts.coalesce(chunks).mapInArrow(candidates, "s bigint").distinct(), "shingle-candidates")
     if fits_broadcast(named, rows=2_000_000):
-        known = np.sort(named.toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
+        sent = texts.sparkSession.sparkContext.broadcast(
+            np.sort(named.toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
+        )
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = sent.value
             totals = np.zeros(len(known), dtype=np.int64)
             for piece in _pieces(batches):
                 hashes = _shingles(piece.column("text"))[0]
