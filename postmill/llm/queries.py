@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm import (
     bpe,
+    collocations,
     line_dedup,
     mixing,
     preferences,
@@ -15,7 +16,9 @@ from postmill.llm import (
     quality_rules,
     token_counts,
     toxicity,
+    url_filters,
     weighted_minhash,
+    whitening,
     winnowing,
 )
 from postmill.llm.columns import only, stored, table
@@ -102,6 +105,21 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return weighted_minhash.near_duplicate_classes(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened components of every vector."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Each language's best phrases."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op13_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's URL, and the rule or glob it comes from."""
+    return url_filters.judge(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -113,6 +131,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash": op10_minhash,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_url_filters": op13_url_filters,
 }
 
 _STOPS = "[" + ", ".join(f"'{word}'" for word in STOP_WORDS) + "]"
@@ -259,4 +280,77 @@ ORACLES = {
         select doc_id, count(*) filter (len(w) > 0) as n_lines, count(*) filter (gone) as n_removed,
             sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as text_sha256
         from judged group by doc_id""",
+    "op12_collocations": """
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]')) as piece
+            from documents
+        ),
+        w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+        totals as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+        sizes as (select lang, w, unnest([1, 2, 3, 4]) as size from w),
+        runs as (select lang, size, w, unnest(range(1, len(w) - size + 2)) as i from sizes),
+        f as (
+            select lang, size, w[i:i + size - 1] as p, count(*) as a from runs group by all having a >= 30
+        ),
+        cuts as (
+            select lang, p, size, a, unnest(range(1, size)) as k from f where size > 1
+        ),
+        scored as (
+            select c.lang, c.p, c.a, min((cast(cast(2000000 as hugeint) * c.a // (l.a + r.a) as bigint), c.k, l.a, r.a)) as best
+            from cuts c
+            join f l on l.lang = c.lang and l.p = c.p[1:c.k]
+            join f r on r.lang = c.lang and r.p = c.p[c.k + 1:c.size]
+            group by c.lang, c.p, c.a
+        ),
+        spans as (select lang, p, size, a, unnest([2, 3]) as part from f where size > 2),
+        inner_runs as (select lang, p, a, part, unnest(range(1, size - part + 2)) as i from spans where part < size),
+        inside as (select lang, p[i:i + part - 1] as p, max(a) as longer from inner_runs group by all),
+        kept as (
+            select s.lang, array_to_string(s.p, ' ') as phrase, s.a, s.best
+            from scored s left join inside i on i.lang = s.lang and i.p = s.p
+            where i.longer is null or 100 * i.longer < 80 * s.a
+        ),
+        ranked as (
+            select *, row_number() over (partition by lang order by best[1] desc, a desc, encode(phrase)) as rank from kept
+        )
+        select r.lang, r.rank, r.phrase, r.a, r.best[3] as l, r.best[4] as r, t.n, r.best[1] as score
+        from ranked r join totals t using (lang) where r.rank <= 2000""",
+    "op13_url_filters": """
+        with parts as (
+            select page_id,
+                translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+            from pages
+        ),
+        ruled as (
+            select *, case
+                when ends_with('.' || host, '.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
+                when ends_with('.' || host, '.example.com') and starts_with(path, '/en/') then 'example.com/en/'
+                when ends_with('.' || host, '.net') and starts_with(path, '/es/') then 'net/es/'
+                when ends_with('.' || host, '.net') and starts_with(path, '/fr/') then 'net/fr/'
+                when ends_with('.' || host, '.com') and starts_with(path, '/') then 'com/'
+            end as fit,
+            list_filter([
+                case when regexp_matches(host, '^casino-') then 'casino-**' end,
+                case when regexp_matches(host, '\\.casino-') then '*.casino-**' end,
+                case when regexp_matches(host, '^adult-') then 'adult-**' end,
+                case when regexp_matches(host, '\\.adult-') then '*.adult-**' end,
+                case when regexp_matches(host, '^spam-') then 'spam-**' end,
+                case when regexp_matches(host, '\\.spam-') then '*.spam-**' end,
+                case when regexp_matches(host, '^ads-') then 'ads-**' end,
+                case when regexp_matches(host, '\\.ads-') then '*.ads-**' end,
+                case when contains(host, '-bets.') then '*-bets.**' end,
+                case when contains(host, '-pills.') then '*-pills.**' end,
+                case when starts_with(path, '/') and ends_with(path, '.exe') then '*/**.exe' end
+            ], lambda g: g is not null) as globs
+            from parts
+        ),
+        named as (select *, list_sort(list_transform(globs, lambda g: (-len(g), g)))[1] as best from ruled)
+        select page_id, host, path, fit as rule,
+            case when fit in ('com/', 'www.example.com/en/') or (fit is null and best is null) then 'allow' else 'block' end as verdict,
+            case when fit is null then best[2] end as wildcard
+        from named""",
 }
