@@ -151,6 +151,18 @@ def _prefixes(keys: np.ndarray, left: np.ndarray) -> np.ndarray:
     return rows
 
 
+def _unequal(part: Slice, other: np.ndarray) -> np.ndarray:
+    """For each word of a slice, whether it differs from the word at the place ``other`` names."""
+    sizes = part.ends - part.begins
+    differ = sizes != sizes[other]
+    held = np.where(differ, 0, sizes)
+    inside = np.arange(int(held.sum())) - np.repeat(np.cumsum(held) - held, held)
+    bytes_differ = part.data[np.repeat(part.begins, held) + inside] != part.data[np.repeat(part.begins[other], held) + inside]
+    wrong = np.repeat(np.arange(len(sizes)), held)[bytes_differ]
+    differ[wrong] = True
+    return differ
+
+
 _COUNTED = "lang string, word string, key bigint, n bigint, depth int"
 
 
@@ -159,9 +171,14 @@ def _count_words(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     words that stand out among every ``_STRIDE``-th suffix."""
 
     def words_of(part: Slice) -> pa.RecordBatch:
-        keys, first, counts = np.unique(part.keys, return_index=True, return_counts=True)
+        keys, first, place, counts = np.unique(part.keys, return_index=True, return_inverse=True, return_counts=True)
+        # Words that share a number with another one in the slice, whose counts then come apart.
+        strange = np.flatnonzero(_unequal(part, first[place]))
+        np.subtract.at(counts, place[strange], 1)
+        keys, counts = np.append(keys, part.keys[strange]), np.append(counts, np.ones(len(strange), np.int64))
+        at = np.append(first, strange)
         whole = part.data.tobytes()
-        spelt = [whole[i:j] for i, j in zip(part.begins[first].tolist(), part.ends[first].tolist(), strict=True)]
+        spelt = [whole[i:j] for i, j in zip(part.begins[at].tolist(), part.ends[at].tolist(), strict=True)]
         return rows(part.lang, pa.array(spelt, pa.binary()).cast(pa.string()), keys, counts, 1)
 
     def rows(lang: str, spelt: pa.Array, keys: np.ndarray, counts: np.ndarray, depth: int) -> pa.RecordBatch:
