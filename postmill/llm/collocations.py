@@ -42,7 +42,7 @@ NO_LANG = "und"
 BREAKS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 
 #: Bytes of text, suffixes collected before a task sends them, and suffixes to a group.
-_BYTES_AT_ONCE, _SUFFIXES_AT_ONCE, SUFFIXES_PER_GROUP = 2_000_000, 1_000_000, 500_000
+_BYTES_AT_ONCE, _SUFFIXES_AT_ONCE, SUFFIXES_PER_GROUP = 1_000_000, 250_000, 250_000
 #: Every so manieth suffix tells which prefixes are heavy: those with more than one of SHARES equal shares.
 _STRIDE, SHARES = 16, 2_000
 
