@@ -9,14 +9,15 @@ from postmill.catalogue.entry import Entry
 from postmill.catalogue.feed import BROKEN, GOOD_SQL, INGEST_TS, feed_lines
 from postmill.functions.scalar import epoch_seconds
 from postmill.operators import audit, metrics
+from postmill.operators.key_index import loads_holding
 from postmill.operators.parse import good_posts, parse_lines, rejects, status_counts
 from postmill.plans import stage
-from postmill.plans.load import load_lines, scratch_store
+from postmill.plans.load import load_lines, load_staging, merge_staging, scratch_store
 from postmill.plans.store import Store
 from postmill.schema import MAIN, STAGING
 from postmill.session import scratch_path
 from postmill.sources.lines import LINES_PER_FILE, read_lines, rechunk_lines
-from postmill.sources.tables import read_table, seed_languages
+from postmill.sources.tables import read_table, seed_languages, seed_values
 
 
 def _parsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +145,7 @@ def _loaded(spark: SparkSession, folder: str) -> Store:
 
 
 def load_languages(spark, folder):
-    return _loaded(spark, folder).read("languages").where(F.col("lang_id") > 188)
+    return _loaded(spark, folder).read("languages")
 
 
 def load_users(spark, folder):
@@ -317,6 +318,103 @@ _RESUMED = (
 )
 
 
+# ------------------------------------------------------------- rules at write
+
+
+def quarantined_rows(spark, folder):
+    """K5, Q8: the loaded posts are written anew, some without an owner, some too long;
+    the table takes the others and sets those aside."""
+    posts, store = _loaded(spark, folder).read("posts"), scratch_store(spark, "rules")
+    post, load_id = F.col("post_id"), store.committed("main") + 1
+    posts = posts.withColumn("text", F.when(post % 50 == 0, F.repeat("text", 100)).otherwise(F.col("text")))
+    posts = posts.withColumn("user_id", F.when(post % 70 != 0, F.col("user_id")))
+    store.write("posts", posts, load_id, on_break="quarantine")
+    store.publish({"main": load_id})
+    number = F.get_json_object("row", "$.post_id").cast("bigint").alias("post_id")
+    kept = store.read("posts").select(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("on"), "post_id")
+    return kept.unionByName(store.broken("posts").select("rule", "on", number))
+
+
+_QUARANTINED = (
+    "select case when post_id % 70 = 0 then 'null' when post_id % 50 = 0 then 'too long' end as rule,"
+    " case when post_id % 70 = 0 then 'user_id' when post_id % 50 = 0 then 'text' end as \"on\", post_id"
+    f" from {_POSTS}"
+)
+
+
+def load_too_long(spark, folder):
+    """K5, Q8: lines whose text passes the width of its column are rejected at the load."""
+    lines = feed_lines(spark, folder)
+    longer = F.replace("value", F.lit('"text":"Shipped'), F.lit('"text":"' + 1100 * "x" + " Shipped"))
+    chosen = F.shiftright(F.col("pos.row"), 28) % 10 == 0
+    store = scratch_store(spark, "limits")
+    load_lines(store, lines.withColumn("value", F.when(chosen, longer).otherwise(F.col("value"))), INGEST_TS, enforce_limits=True)
+    refused = store.read("rejects").where("reason like 'too long%'").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    staged = store.read("posts").agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("reason"), "n")
+    return refused.unionByName(staged)
+
+
+_TOO_LONG = (
+    f"select 'too long text' as reason, count(*) n from {GOOD_SQL} where l_partkey % 10 = 0"
+    f" union all select 'loaded', count(distinct post_ext_id) from {GOOD_SQL} where l_partkey % 10 <> 0"
+)
+
+# ------------------------------------------------------------------ key index
+
+
+def loads_with_late_posts(spark, folder):
+    """Three loads by ranges of orders; the last brings some posts of the first
+    again. Which stored loads does the key index name, and how many rows of them does
+    a merge look at?"""
+    store, lines = scratch_store(spark, "late"), feed_lines(spark, folder)
+    order = F.shiftright(F.get_json_object("value", "$.id_str").cast("bigint"), 3)
+    good = lines.where(order.isNotNull()).withColumn("_order", order)
+    third = (good.agg(F.max("_order")).first()[0] or 0) // 3 + 1
+    for part in (0, 1):
+        load_lines(store, good.where(F.floor(F.col("_order") / third) == part).drop("_order"), INGEST_TS)
+    late = good.where((F.col("_order") >= 2 * third) | (F.col("_order") < 64))
+    load_staging(store, late.drop("_order"), "2024-01-03 00:00:00", store.committed("stage") + 1)
+    marks = store.marks()
+    keys = store.staging(marks, waiting_only=True)["posts_stage"]
+    index = store.read_by_load("key_index", marks=marks).where("t = 'posts'")
+    per_load = loads_holding(index, keys, "post_ext_id").groupBy("load_id").agg(F.sum("n").alias("hits"))
+    merge_staging(store)
+    after = store.read("posts").agg(F.count(F.lit(1)).alias("posts"))
+    return per_load.crossJoin(F.broadcast(after))  # one row of totals
+
+
+_LATE = (
+    f"with g as (select distinct l_orderkey, post_ext_id from (select *, post_ext_id // 8 as l_orderkey from {GOOD_SQL})),"
+    " t as (select max(l_orderkey) // 3 + 1 as third from lineitem where l_quantity not in (44, 48, 47, 50)),"
+    " first as (select post_ext_id from g, t where l_orderkey // third = 0)"
+    " select 2::bigint as load_id, count(*) as hits, (select count(*) from g) as posts"
+    " from first where post_ext_id // 8 < 64 having count(*) > 0"
+)
+
+
+def load_rates(spark, folder):
+    """Posts of each stored load, and whether its rate is theirs over its seconds."""
+    rates = metrics.stored_rates(_loaded(spark, folder).read("timings"))
+    seconds = F.greatest(F.floor(F.col("duration_ms") / 1000), F.lit(1))
+    return rates.select("name", "batch", "rows", (F.col("rate") == F.floor(F.col("rows") / seconds)).alias("rate_holds"))
+
+
+def filter_child_steps(spark, folder):
+    """The steps that are no roots, in the order of their start."""
+    steps = _loaded(spark, folder).read("timings")
+    children = metrics.matching(steps, "is_root", False, [F.asc("start_ms")])
+    return children.select("name", "is_root", "depth")
+
+
+def rechunked_small(spark, folder):
+    """With a limit below the number of lines, no file holds more, and all lines are there."""
+    docs = read_table(spark, folder, "documents").select(F.to_json(F.struct("doc_id")).alias("value"))
+    path = scratch_path(spark, "small-chunks")
+    rechunk_lines(docs, path, 64)
+    per_file = read_lines(spark, path, "*.txt").groupBy("src_file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.agg(F.max("n").alias("most"), F.sum("n").alias("lines"), (F.count(F.lit(1)) >= F.sum("n") / 64).alias("enough_files"))
+
+
 def rechunked_lines(spark, folder):
     docs = read_table(spark, folder, "documents").select(F.to_json(F.struct("doc_id", "text")).alias("value"))
     path = scratch_path(spark, "chunks")
@@ -346,7 +444,24 @@ ENTRIES = {
         stage_post_tags, f"select src_file, post_ext_id, tag_id from {_POST_TAGS} join {_FEED_TAG_IDS} using (name)"
     ),
     "load_languages": Entry(
-        load_languages, f"select lang_id, lang as short_code, '' as name from {_LANG_IDS} where lang_id > 188"
+        load_languages,
+        f"select * from (values {seed_values()}) seeds(lang_id, short_code, name)"
+        f" union all select lang_id, lang, '' from {_LANG_IDS} where lang_id > 188",
+    ),
+    "quarantined_rows": Entry(quarantined_rows, _QUARANTINED),
+    "load_too_long": Entry(load_too_long, _TOO_LONG),
+    "loads_with_late_posts": Entry(loads_with_late_posts, _LATE),
+    "load_rates": Entry(
+        load_rates,
+        f"with c as ({_COUNTS}) select 'load' as name, null::bigint as batch, n as rows, true as rate_holds from c where t = 'posts_stage'",
+    ),
+    "filter_child_steps": Entry(
+        filter_child_steps,
+        "select unnest(['parse', 'dictionaries', 'staging', 'merge']) as name, false as is_root, 1::smallint as depth",
+    ),
+    "rechunked_small": Entry(
+        rechunked_small,
+        "select least(64, count(*)) as most, count(*) as lines, true as enough_files from documents",
     ),
     "load_users": Entry(load_users, f"select user_id, user_ext_id, name from {_USERS}"),
     "load_posts": Entry(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from postmill.catalogue.entry import Entry
 from postmill.catalogue.feed import INGEST_TS
+from postmill.operators.metrics import stored_rates
 from postmill.operators.parse import good_posts, parse_lines
+from postmill.plans.ledger import load_files
 from postmill.plans.load import scratch_store
 from postmill.session import scratch_path
 from postmill.sources.lines import rechunk_lines, read_lines, stream_lines
@@ -73,7 +75,61 @@ def stream_two_sources(spark, folder):
     return store.main()["posts"].groupBy("post_ext_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+FILES = 8
+
+
+def _event_files(spark: SparkSession, folder: str, lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines as one file for each value of their column ``file``, in a folder of that name."""
+    lines.repartition("file").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("file").text(path)
+
+
+def _numbered_event_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Event lines with the number of their file; blank lines all go to the first."""
+    event = F.get_json_object("value", "$.id_str").cast("bigint")
+    return _event_lines(spark, folder).select("value", F.coalesce(event % FILES, F.lit(0)).cast("int").alias("file"))
+
+
+def file_retries(spark, folder):
+    """S3, T5: eight files, one with a broken line. Seven are loaded, the broken one is tried
+    again and set aside; mended, it is taken once more. Ledger and posts of each file."""
+    store, path = scratch_store(spark, "queue"), scratch_path(spark, "queue-files")
+    lines = _numbered_event_lines(spark, folder)
+    broken = spark.range(1).select(F.lit("{not json").alias("value"), F.lit(5).alias("file"))
+    _event_files(spark, folder, lines.unionByName(broken), path)
+    load_files(store, path, lambda turn: INGEST_TS, "*.txt", tries=2, files_per_load=3)
+    _event_files(spark, folder, lines.where("file = 5"), path, "overwrite")
+    load_files(store, path, lambda turn: INGEST_TS, "*.txt", tries=2, files_per_load=3)
+    number = F.regexp_extract("src_file", r"/file=(\d+)/", 1).cast("int").alias("file")
+    ledger = store.read("ledger").select(number, "attempt", "outcome", "reason")
+    posts = store.read("posts").groupBy((F.col("post_ext_id") % FILES).cast("int").alias("file")).agg(F.count(F.lit(1)).alias("posts"))
+    return ledger.join(posts, "file", "left")
+
+
+def stream_batches(spark, folder):
+    """The lines of each batch of a stream, as its listener stored them, and whether
+    the stored rate is theirs over the seconds it took."""
+    store, path = scratch_store(spark, "batches"), scratch_path(spark, "batch-files")
+    _event_files(spark, folder, _numbered_event_lines(spark, folder), path)
+    load_stream(store, stream_lines(spark, f"{path}/*", "*.txt", 1), lambda epoch: INGEST_TS, scratch_path(spark, "batch-log"))
+    rates = stored_rates(store.read("timings")).where("batch is not null")
+    seconds = F.greatest(F.floor(F.col("duration_ms") / 1000), F.lit(1))
+    return rates.select(F.col("rows").alias("lines"), (F.col("rate") == F.floor(F.col("rows") / seconds)).alias("rate_holds"))
+
+
 ENTRIES = {
+    "file_retries": Entry(
+        file_retries,
+        "with p as (select event_id % 8 as file, count(*) as posts from events where event_type <> 'signup' group by all),"
+        " l as (select file::int as file, 1 as attempt, 'loaded' as outcome, null::varchar as reason from range(8) t(file)"
+        " where file in (select file from p) or file = 0"
+        " union all select 5, 1, 'failed', 'malformed' union all select 5, 2, 'set aside', 'malformed')"
+        " select l.*, p.posts from l left join p using (file)",
+    ),
+    "stream_batches": Entry(
+        stream_batches,
+        "select sum(case when event_type = 'click' then 2 else 1 end)::bigint as lines, true as rate_holds"
+        " from events group by case when event_type = 'signup' then 0 else event_id % 8 end",
+    ),
     "stream_landed_lines": Entry(
         stream_landed_lines,
         "select event_id post_ext_id, case when event_type = 'click' then 2::bigint else 1::bigint end n"

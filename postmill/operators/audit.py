@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions.text import contains_text, extract_tags
 from postmill.operators.joins import lookup_join, orphans
+from postmill.operators.rules import breaks
 from postmill.schema import TableSpec
 
 
@@ -21,8 +22,8 @@ def linked_tags(pairs: DataFrame, tags: DataFrame, post_key: str = "post_id") ->
 def tags_per_post(linked: DataFrame, post_key: str = "post_id") -> DataFrame:
     """The sorted tag names of each post as one array.
 
-    A list holds each name once, and the names of one post come out of one text
-    of at most 1,024 characters, so a list stays short.
+    A list holds each name once, and the names of one post come out of one line,
+    so a list is no longer than a line.
     """
     return linked.distinct().groupBy(post_key).agg(F.array_sort(F.collect_list("name")).alias("tags"))
 
@@ -70,8 +71,7 @@ def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
 def rule_breaks(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Q7, Q8: for each column, nulls where a value is required and texts that
     are too long; one scan and one row per rule of the table."""
-    rules = [("null", name, F.col(name).isNull()) for name in spec.required]
-    rules += [("too long", name, F.length(name) > size) for name, size in spec.max_length.items()]
+    rules = breaks(spec)
     counts = df.agg(
         *[F.coalesce(F.sum(F.when(hit, 1)), F.lit(0)).alias(f"_{i}") for i, (_, _, hit) in enumerate(rules)]
     )

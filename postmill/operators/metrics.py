@@ -56,6 +56,24 @@ def throughput(df: DataFrame, group: str, elapsed_ms: Column, out: str = "rate")
     return per_batch.select(group, rate_per_second(F.col("_n"), F.col("_ms")).alias(out))
 
 
+def stored_rates(steps: DataFrame) -> DataFrame:
+    """A7 over stored steps: ``id, name, batch, rows, duration_ms, rate`` of every load and
+    every stream batch, from the rows noted with it and the time it took.
+
+    A load is a root step; its rows are the posts its steps wrote. A batch of a
+    stream is a step that noted the lines it read.
+    """
+    noted = F.from_json("custom", "map<string,bigint>")
+    per_step = steps.select("*", noted.alias("_n"))
+    posts = per_step.groupBy("profile_id").agg(F.max(F.col("_n")["posts_stage"]).alias("_posts"))
+    loads = per_step.where("is_root").join(posts.where("_posts is not null"), "profile_id")
+    loads = loads.select("id", "name", F.lit(None).cast("bigint").alias("batch"), F.col("_posts").alias("rows"), "duration_ms")
+    batches = per_step.where(F.col("_n")["lines"].isNotNull())
+    batches = batches.select("id", "name", F.col("_n")["batch"].alias("batch"), F.col("_n")["lines"].alias("rows"), "duration_ms")
+    every = loads.unionByName(batches)
+    return every.withColumn("rate", rate_per_second(F.col("rows"), F.col("duration_ms")))
+
+
 def matching(df: DataFrame, column: str, value, order: list[Column] | None = None) -> DataFrame:
     """Rows with one value, sorted when an order is given."""
     rows = df.where(F.col(column) == F.lit(value))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions.scalar import as_long, evaluated_once, post_time
 from postmill.functions.text import is_blank, normalise_tag
+from postmill.operators.rules import too_long
 from postmill.schema import INGEST_SCHEMA
 
 POST_COLUMNS = ("post_ext_id", "created_at", "text", "lang", "user_ext_id", "user_name", "tags")
@@ -67,6 +68,19 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return judged.select(*lines.columns, status.alias("status"), "reason", *POST_COLUMNS)
 
 
+def limited(parsed: DataFrame) -> DataFrame:
+    """K5: parsed lines, of which those too long for a staging table are rejects too."""
+    over = F.when(F.col("status") == GOOD, too_long(list(POST_COLUMNS)))
+    judged = parsed.withColumn("_over", over)
+    status = F.when(F.col("_over").isNotNull(), REJECT).otherwise(F.col("status"))
+    return judged.withColumns({"status": status, "reason": F.coalesce("reason", "_over")}).drop("_over")
+
+
+def broken_files(parsed: DataFrame) -> DataFrame:
+    """S3, T5: the files that hold a rejected line, with the first reason in text order."""
+    return parsed.where(F.col("status") == REJECT).groupBy("src_file").agg(F.min("reason").alias("reason"))
+
+
 def good_posts(parsed: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """The posts among parsed lines.
 

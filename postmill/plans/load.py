@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.operators.joins import missing_from, within_range
+from postmill.operators.joins import lookup_join, missing_from
+from postmill.operators.key_index import hits, index_of, narrowed
 from postmill.operators.metrics import StepTimer
-from postmill.operators.parse import good_posts, parse_lines, rejects
+from postmill.operators.parse import broken_files, good_posts, limited, parse_lines, rejects
 from postmill.plans import merge, stage
 from postmill.plans.store import Store
-from postmill.schema import PROFILES, REJECTS, TIMINGS
-from postmill.session import scratch_path, side_by_side
+from postmill.schema import KEY_INDEX, PROFILES, REJECTS, TIMINGS
+from postmill.session import durable, scratch_path, side_by_side
+
+# The tables whose keys are indexed by load.
+INDEXED = {"posts": "post_ext_id", "post_tag": "post_ext_id"}
 
 
-def parsed_once(store: Store, lines: DataFrame, ingest_ts, load_id: int) -> DataFrame:
+def parsed_once(store: Store, lines: DataFrame, ingest_ts, load_id: int, enforce_limits: bool = False) -> DataFrame:
     """Parse lines and store the result, so that five staging tables and the
     rejects read a few typed columns instead of the JSON text again."""
     moment = F.lit(ingest_ts).cast("timestamp")
     parsed = parse_lines(lines.withColumn("ingest_ts", moment))
+    if enforce_limits:
+        parsed = limited(parsed)
     kept = F.when(F.col("status") == "reject", F.col("value")).alias("value")
     path = f"{store.root}/parsed/load_id={load_id}"
     columns = [kept if name == "value" else name for name in parsed.columns]
@@ -44,9 +52,17 @@ def load_staging(
     on_error: str = "quarantine",
     timer: StepTimer | None = None,
     also: dict[str, int] | None = None,
+    enforce_limits: bool = False,
+    left_out: Callable[[DataFrame], dict[str, int]] | None = None,
 ) -> DataFrame:
     """One load: lines to five staging tables and the rejects, all or nothing (K5, K6, K9).
 
+    ``on_error`` says what a rejected line does: ``quarantine`` sets it aside, ``file`` leaves
+    out its whole file, ``fail`` ends the load. With ``enforce_limits`` a line is also
+    rejected for a text that is too long for its column; otherwise the audit reports it.
+    ``left_out`` is told the files left out, before the commit, and returns marks to
+    raise with it.
+
     ``also`` are marks raised in the same commit. The steps and their row counts
     are stored with the load, unless the caller brings a ``timer`` of its own.
 
@@ -57,8 +73,11 @@ def load_staging(
     timer = timer or StepTimer("load")
     store.require_free("stage", load_id)
     with timer.step("parse"):
-        parsed = parsed_once(store, lines, ingest_ts, load_id)
-        posts = good_posts(parsed, on_error)
+        parsed = parsed_once(store, lines, ingest_ts, load_id, enforce_limits)
+        posts = good_posts(parsed, "quarantine" if on_error == "file" else on_error)
+        if on_error == "file":
+            broken = durable(broken_files(parsed))
+            posts = lookup_join(posts, broken.select("src_file"), "src_file", ["pos"], "left_anti")
     with timer.step("dictionaries"):
         marks = store.marks()
         main, waiting = store.main(marks), store.staging(marks, waiting_only=True)
@@ -85,7 +104,8 @@ def load_staging(
         )
     steps = store_steps(store, timer, marks) if own_timer else {}
     store.require_free("stage", load_id)
-    store.publish({"stage": load_id, **steps, **(also or {})})
+    noted = left_out(broken) if left_out and on_error == "file" else {}
+    store.publish({"stage": load_id, **steps, **(also or {}), **noted})
     store.remove(f"parsed/load_id={load_id}")
     return set_aside
 
@@ -95,6 +115,17 @@ def _known(main: DataFrame, waiting: DataFrame, key: str, id_col: str) -> DataFr
     return numbered.unionByName(missing_from(waiting.select(key, id_col).distinct(), numbered, key))
 
 
+def stored_near(store: Store, name: str, keys: DataFrame, marks: dict[str, int]) -> DataFrame:
+    """The part of an indexed table that can hold the given keys. Loads that
+    cannot hold any are not read."""
+    key = INDEXED[name]
+    index = store.read_by_load(KEY_INDEX.name, marks=marks).where(F.col("t") == name)
+    indexed = {row["load_id"] for row in index.select("load_id").distinct().collect()}  # one number per load
+    unindexed = [load for load in store.loads_after_reset(name, marks) if load not in indexed]
+    found = hits(index, keys, key)
+    return narrowed(store.read_by_load(name, marks=marks), found, unindexed, key).drop("load_id")
+
+
 def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer | None = None) -> int:
     """T4, K7, K9: everything staged since the last merge to the main tables,
     all or nothing.
@@ -109,15 +140,17 @@ def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer
 
     def users_posts_and_pairs() -> None:
         users = store.write("users", merge.new_users(staged["users_stage"], main["users"]), load_id, timer)
-        stored = within_range(main["posts"], staged["posts_stage"], "post_ext_id")
+        stored = stored_near(store, "posts", staged["posts_stage"], marks)
         everyone = main["users"].unionByName(users)
         fresh = merge.new_posts(staged["posts_stage"], everyone, stored, main["posts"])
         posts = store.write("posts", fresh, load_id, timer)
-        pairs = within_range(main["post_tag"], staged["post_tag_stage"], "post_ext_id")
+        pairs = stored_near(store, "post_tag", staged["post_tag_stage"], marks)
         linked = merge.new_pairs(
             staged["post_tag_stage"], stored.unionByName(posts), pairs, main["post_tag"], keep_duplicates
         )
-        store.write("post_tag", linked, load_id, timer)
+        linked = store.write("post_tag", linked, load_id, timer)
+        marked = [index_of(rows, INDEXED[name], name) for name, rows in {"posts": posts, "post_tag": linked}.items()]
+        store.write(KEY_INDEX.name, marked[0].unionByName(marked[1]), load_id)
 
     with timer.step("merge"):
         side_by_side(
@@ -132,9 +165,9 @@ def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer
     return load_id
 
 
-def load_lines(store: Store, lines: DataFrame, ingest_ts, on_error: str = "quarantine") -> DataFrame:
+def load_lines(store: Store, lines: DataFrame, ingest_ts, on_error: str = "quarantine", **options) -> DataFrame:
     """Stage and merge one set of lines; returns the rejected lines."""
-    set_aside = load_staging(store, lines, ingest_ts, store.committed("stage") + 1, on_error)
+    set_aside = load_staging(store, lines, ingest_ts, store.committed("stage") + 1, on_error, **options)
     merge_staging(store)
     return set_aside
 

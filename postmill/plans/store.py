@@ -8,27 +8,23 @@ prune the partitions of unfinished loads by their number.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.operators.metrics import StepTimer
-from postmill.schema import MAIN, PROFILES, REJECTS, STAGING, TIMINGS, TableSpec
-from postmill.sources.tables import declared_empty, empty_table, seed_languages
+from postmill.operators.rules import CHOICES, FAIL, QUARANTINE, REPORT, first_break, refused
+from postmill.schema import KEY_INDEX, LEDGER, MAIN, PROFILES, REJECTS, STAGING, TIMINGS, TableSpec
+from postmill.sources.tables import declared_empty, seed_languages
 
 _COMMITS = "kind string, load_id bigint"
 
 SPECS: dict[str, TableSpec] = {
     **STAGING,
     **MAIN,
-    **{spec.name: spec for spec in (REJECTS, TIMINGS, PROFILES)},
+    **{spec.name: spec for spec in (REJECTS, TIMINGS, PROFILES, LEDGER, KEY_INDEX)},
 }
 
-
-def _only_absent(error: AnalysisException) -> None:
-    """A folder that is not there holds nothing; any other error is one."""
-    if error.getCondition() != "PATH_NOT_FOUND":
-        raise error
+_BROKEN = {"rule": "string", "on": "string", "row": "string"}
 
 
 class Store:
@@ -41,11 +37,9 @@ class Store:
     # ------------------------------------------------------------- commits
 
     def _commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-        except AnalysisException as error:
-            _only_absent(error)
+        if not self._there("commits"):
             return declared_empty(self.spark, {"kind": "string", "load_id": "bigint"})
+        return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
 
     def marks(self) -> dict[str, int]:
         """Newest load of each kind of commit, a handful in all."""
@@ -76,21 +70,39 @@ class Store:
     # --------------------------------------------------------------- reads
 
     def _kind(self, name: str) -> str:
-        return "main" if name in MAIN else "stage" if name in STAGING or name == REJECTS.name else name
+        if name in MAIN or name == KEY_INDEX.name:
+            return "main"
+        return "stage" if name in STAGING or name == REJECTS.name else name
 
     def read(self, name: str, after: int = 0, marks: dict[str, int] | None = None) -> DataFrame:
         """The committed rows of a table, or those of loads later than ``after``."""
-        spec, kind = SPECS[name], self._kind(name)
+        return self.read_by_load(name, after, marks).drop("load_id")
+
+    def read_by_load(self, name: str, after: int = 0, marks: dict[str, int] | None = None) -> DataFrame:
+        """The rows that :meth:`read` gives, with the number of their load."""
+        return self._visible(name, SPECS[name].columns, name, after, marks)
+
+    def _visible(
+        self, folder: str, columns: dict[str, str], name: str, after: int, marks: dict[str, int] | None
+    ) -> DataFrame:
+        kind, columns = self._kind(name), {**columns, "load_id": "bigint"}
         marks = self.marks() if marks is None else marks
         low, high = max(after, marks.get(f"{kind}-reset", 0)), marks.get(kind, 0)
-        if high <= low:
-            return empty_table(self.spark, spec)
-        try:
-            rows = self.spark.read.schema(f"{spec.ddl}, load_id bigint").parquet(f"{self.root}/{name}")
-        except AnalysisException as error:
-            _only_absent(error)
-            return empty_table(self.spark, spec)
-        return rows.where((F.col("load_id") > low) & (F.col("load_id") <= high)).drop("load_id")
+        if high <= low or not self._there(folder):
+            return declared_empty(self.spark, columns)
+        ddl = ", ".join(f"`{column}` {kind}" for column, kind in columns.items())
+        rows = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}")
+        return rows.where((F.col("load_id") > low) & (F.col("load_id") <= high))
+
+    def loads_after_reset(self, name: str, marks: dict[str, int]) -> range:
+        """The numbers of the loads whose rows :meth:`read` gives."""
+        kind = self._kind(name)
+        return range(marks.get(f"{kind}-reset", 0) + 1, marks.get(kind, 0) + 1)
+
+    def broken(self, name: str, marks: dict[str, int] | None = None) -> DataFrame:
+        """K5: the rows of committed loads that a table refused, as JSON, with the first
+        rule each breaks."""
+        return self._visible(f"broken/{name}", _BROKEN, name, 0, marks).drop("load_id")
 
     def main(self, marks: dict[str, int] | None = None) -> dict[str, DataFrame]:
         """The main tables, all as of one commit."""
@@ -106,18 +118,41 @@ class Store:
 
     # -------------------------------------------------------------- writes
 
-    def write(self, name: str, rows: DataFrame, load_id: int, timer: StepTimer | None = None) -> DataFrame:
+    def write(
+        self, name: str, rows: DataFrame, load_id: int, timer: StepTimer | None = None, on_break: str = REPORT
+    ) -> DataFrame:
         """K5, K6: put the columns of a table, by its own order, into the
         partition of a load; returns the written rows, read back. ``timer``
-        notes how many rows that were."""
-        path = f"{self.root}/{name}/load_id={load_id}"
-        ordered = rows.select(*SPECS[name].columns)
+        notes how many rows that were.
+
+        ``on_break`` says what becomes of rows that break a rule of the table:
+        ``report`` writes them and leaves them to the audit, ``fail`` ends the job at
+        the first, ``quarantine`` puts them into :meth:`broken` instead. The verdict is
+        part of the one scan that writes; only where it has found broken rows are the
+        rows computed again to put those aside.
+        """
+        if on_break not in CHOICES:
+            raise ValueError(f"on_break is one of {CHOICES}, not {on_break!r}")
+        spec, path = SPECS[name], f"{self.root}/{name}/load_id={load_id}"
+        ordered, seen = rows.select(*spec.columns), Observation()
+        if on_break == FAIL:
+            ordered = refused(ordered, spec)
+        elif on_break == QUARANTINE:
+            judged = ordered.withColumn("_broken", first_break(spec))
+            counted = judged.observe(seen, F.count("_broken").alias("n"))
+            ordered = counted.where(F.col("_broken").isNull()).drop("_broken")
         if timer is not None:
             ordered = timer.observe(ordered, name)
         ordered.write.mode("overwrite").parquet(path)
         if timer is not None:
             timer.note(name)
-        return self.spark.read.schema(SPECS[name].ddl).parquet(path)
+        if on_break == QUARANTINE:
+            self.remove(f"broken/{name}/load_id={load_id}")
+            if seen.get["n"]:
+                whole = F.to_json(F.struct(*spec.columns)).alias("row")
+                aside = judged.where(F.col("_broken").isNotNull()).select("_broken.rule", "_broken.on", whole)
+                aside.write.mode("overwrite").parquet(f"{self.root}/broken/{name}/load_id={load_id}")
+        return self.spark.read.schema(spec.ddl).parquet(path)
 
     def reset(self, *kinds: str) -> None:
         """K8: empty all tables of some kinds by raising the mark below which
@@ -130,7 +165,7 @@ class Store:
         marks = self.marks()
         load_id = marks.get("main", 0) + 1
         self.write("languages", seed_languages(self.spark), load_id)
-        kinds = ("main", "stage", TIMINGS.name, PROFILES.name)
+        kinds = ("main", "stage", TIMINGS.name, PROFILES.name, LEDGER.name)
         self.publish({**{f"{kind}-reset": marks.get(kind, 0) for kind in kinds}, "main": load_id})
 
     # ------------------------------------------------------------- removal
@@ -145,6 +180,10 @@ class Store:
         folder, files = self._folder(path)
         return [status.getPath() for status in files.listStatus(folder)] if files.exists(folder) else []
 
+    def _there(self, path: str) -> bool:
+        folder, files = self._folder(path)
+        return files.exists(folder)
+
     def remove(self, path: str) -> None:
         """Remove a folder of the store, if it is there."""
         folder, files = self._folder(path)
@@ -165,7 +204,8 @@ class Store:
             self.remove(f"commits/{file.getName()}")
         for name in SPECS:
             emptied = marks.get(f"{self._kind(name)}-reset", 0)
-            for folder in self._inside(name):
-                number = folder.getName().removeprefix("load_id=")
-                if number.isdigit() and int(number) <= emptied:
-                    self.remove(f"{name}/{folder.getName()}")
+            for table in (name, f"broken/{name}"):
+                for folder in self._inside(table):
+                    number = folder.getName().removeprefix("load_id=")
+                    if number.isdigit() and int(number) <= emptied:
+                        self.remove(f"{table}/{folder.getName()}")

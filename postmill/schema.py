@@ -199,6 +199,33 @@ REJECTS = TableSpec(
     required=("reason",),
 )
 
+# Files taken in by a load, with what became of each attempt.
+LEDGER = TableSpec(
+    "ledger",
+    {
+        "path": "string",
+        "src_file": "string",
+        "modified": "timestamp",
+        "size": "bigint",
+        "attempt": "int",
+        "outcome": "string",
+        "reason": "string",
+    },
+    required=("path", "src_file", "attempt", "outcome"),
+)
+
+# Which keys a load added to a table: one bit per run of 2^shift keys.
+KEY_INDEX = TableSpec(
+    "key_index",
+    {
+        "t": "string",
+        "shift": "int",
+        "number": "bigint",
+        "bits": "binary",
+    },
+    required=("t", "shift", "number", "bits"),
+)
+
 TIMINGS = TableSpec(
     "timings",
     {

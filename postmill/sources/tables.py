@@ -36,9 +36,19 @@ def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return declared_empty(spark, spec.columns)
 
 
+def _seed_rows() -> list[list[str]]:
+    return [line.split(",") for line in _SEEDS.read_text(encoding="utf-8").splitlines()[2:]]
+
+
+def seed_values() -> str:
+    """The same rows for a VALUES clause."""
+    quoted = [[key, *("'" + word.replace("'", "''") + "'" for word in words)] for key, *words in _seed_rows()]
+    return ", ".join(f"({', '.join(row)})" for row in quoted)
+
+
 def seed_languages(spark: SparkSession) -> DataFrame:
     """The fixed language dimension, 188 rows."""
-    keys, codes, names = zip(*(line.split(",") for line in _SEEDS.read_text(encoding="utf-8").splitlines()[2:]))
+    keys, codes, names = zip(*_seed_rows())
     rows = pa.table({"lang_id": [int(key) for key in keys], "short_code": codes, "name": names})
     return spark.createDataFrame(rows, MAIN["languages"].ddl)
 

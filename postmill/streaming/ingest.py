@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postmill.functions.text import is_blank
+from postmill.plans.ledger import note_failed, retry_files
 from postmill.plans.load import load_staging, merge_staging
 from postmill.plans.store import Store
 from postmill.sources.lines import with_position
+from postmill.streaming.progress import BatchTimes, store_batches
 
 # Fixed value: files taken in at a time, one per worker.
 FILES_PER_TRIGGER = 7
@@ -60,6 +62,9 @@ def stage_stream(
     half way overwrites its own partitions when it runs again, and one that is
     already committed is skipped. With a new checkpoint all files come again;
     the merge knows their posts. ``clock`` gives the time of intake of a batch.
+
+    With ``on_error="file"`` a file with a rejected line does not hold up its batch: it is
+    left out and noted as failed in the ledger, for ``retry_files``.
     """
 
     def one_batch(batch: DataFrame, epoch: int) -> None:
@@ -67,7 +72,10 @@ def stage_stream(
         if epoch < store.committed(done):
             return
         load_id = store.committed("stage") + 1
-        load_staging(store, with_position(batch), clock(epoch), load_id, on_error, also={done: epoch + 1})
+        load_staging(
+            store, with_position(batch), clock(epoch), load_id, on_error, also={done: epoch + 1},
+            left_out=lambda broken: note_failed(store, broken),
+        )
 
     return (
         lines.writeStream.foreachBatch(one_batch)
@@ -84,6 +92,13 @@ def load_stream(
     checkpoint: str,
     on_error: str = "quarantine",
 ) -> int:
-    """T4: stage the backlog, and when it is empty merge it once."""
-    stage_stream(store, lines, clock, checkpoint, on_error).awaitTermination()
+    """Stage the backlog, and when it is empty merge it once. How long each batch
+    took, and the lines it read, are stored as steps."""
+    with BatchTimes(store.spark) as times:
+        query = stage_stream(store, lines, clock, checkpoint, on_error)
+        query.awaitTermination()
+        batches = times.of(query)
+    store_batches(store, batches)
+    if on_error == "file":
+        retry_files(store, clock)
     return merge_staging(store)
