@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 
 def tracks(text: Column, phrases: Iterable[str]) -> Column:
-    """Any phrase matches; a phrase matches when all of its words occur, in any order and case."""
+    """Any phrase matches; a phrase matches when all of its words occur, in any order and case.
+    A phrase without words asks for nothing."""
     lowered = F.lower(text)
     hits = [
         reduce(lambda a, b: a & b, [F.contains(lowered, F.lit(word)) for word in phrase.lower().split()])
         for phrase in phrases
+        if phrase.split()
     ]
     return reduce(lambda a, b: a | b, hits, F.lit(False))
 

@@ -73,23 +73,25 @@ def stage_files(store: Store, taken: list[Row], ingest_ts, tries: int = TRIES, p
     noted as failed, and the rest stays in the queue for the next load. An error
     that is no file's is raised.
     """
-    number = store.marks().get(LEDGER.name, 0) + 1
 
     def note(left_out: DataFrame) -> dict[str, int]:
+        number = store.marks().get(LEDGER.name, 0) + 1
         broken = {row["src_file"]: row["reason"] for row in left_out.collect()}  # a row per file taken, at most
         store.write(LEDGER.name, _entries(store, taken, broken, tries), number)
         return {LEDGER.name: number}
 
     lines = read_lines(store.spark, [file["path"] for file in taken], pattern)
     try:
-        load_staging(store, lines, ingest_ts, store.committed("stage") + 1, "file", left_out=note, **options)
+        load_staging(store, lines, ingest_ts, None, "file", left_out=note, **options)
     except _JOB_ERRORS:
         unreadable = {file["src_file"]: _read_error(store.spark, file["path"]) for file in taken}
         broken = [file for file in taken if unreadable[file["src_file"]]]
         if not broken:
             raise
-        store.write(LEDGER.name, _entries(store, broken, unreadable, tries), number)
-        store.publish({LEDGER.name: number})
+        with store.writing():
+            number = store.marks().get(LEDGER.name, 0) + 1
+            store.write(LEDGER.name, _entries(store, broken, unreadable, tries), number)
+            store.publish({LEDGER.name: number})
 
 
 def load_files(

@@ -48,7 +48,7 @@ def load_staging(
     store: Store,
     lines: DataFrame,
     ingest_ts,
-    load_id: int,
+    load_id: int | None = None,
     on_error: str = "quarantine",
     timer: StepTimer | None = None,
     also: dict[str, int] | None = None,
@@ -66,11 +66,20 @@ def load_staging(
     ``also`` are marks raised in the same commit. The steps and their row counts
     are stored with the load, unless the caller brings a ``timer`` of its own.
 
+    One writer has the store at a time: others wait until its load is published and
+    then go on from there. Without ``load_id`` the load gets the next number.
+
     Numbers for new languages and tags follow on from the main tables and from
     earlier loads that still wait for a merge. Returns the rejected lines.
     """
+    with store.writing():
+        return _load_staging(store, lines, ingest_ts, load_id, on_error, timer, also, enforce_limits, left_out)
+
+
+def _load_staging(store, lines, ingest_ts, load_id, on_error, timer, also, enforce_limits, left_out) -> DataFrame:
     own_timer = timer is None
     timer = timer or StepTimer("load")
+    load_id = load_id or store.committed("stage") + 1
     store.require_free("stage", load_id)
     with timer.step("parse"):
         parsed = parsed_once(store, lines, ingest_ts, load_id, enforce_limits)
@@ -130,8 +139,15 @@ def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer
     """T4, K7, K9: everything staged since the last merge to the main tables,
     all or nothing.
 
-    A second run finds nothing new. Returns the number of the load.
+    A second run finds nothing new. Of several loaders that call this at once, one
+    merges what all have staged and the others find nothing left. Returns the number
+    of the load.
     """
+    with store.writing():
+        return _merge_staging(store, keep_duplicates, timer)
+
+
+def _merge_staging(store: Store, keep_duplicates: bool, timer: StepTimer | None) -> int:
     own_timer = timer is None
     timer = timer or StepTimer("merge")
     marks = store.marks()
@@ -167,7 +183,7 @@ def merge_staging(store: Store, keep_duplicates: bool = False, timer: StepTimer
 
 def load_lines(store: Store, lines: DataFrame, ingest_ts, on_error: str = "quarantine", **options) -> DataFrame:
     """Stage and merge one set of lines; returns the rejected lines."""
-    set_aside = load_staging(store, lines, ingest_ts, store.committed("stage") + 1, on_error, **options)
+    set_aside = load_staging(store, lines, ingest_ts, None, on_error, **options)
     merge_staging(store)
     return set_aside
 

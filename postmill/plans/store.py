@@ -8,6 +8,12 @@ prune the partitions of unfinished loads by their number.
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +36,96 @@ _BROKEN = {"rule": "string", "on": "string", "row": "string"}
 class Store:
     """Tables under one shared folder."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, lease: float = 3600) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.lease = lease
+
+    # ------------------------------------------------------------- writers
+
+    @contextmanager
+    def writing(self, patience: float = 3600) -> Iterator[None]:
+        """K9, T4: the right to publish, for one writer at a time; others wait.
+
+        The right is a file that can be created once. A writer that died leaves its
+        file; when that is older than ``lease`` seconds the next number is created in
+        its place, which again only one can do. A writer that has been overtaken so
+        is told by :meth:`publish` and publishes nothing.
+        """
+        deadline = time.monotonic() + patience
+        while (mine := self._claimed()) is None:
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"another writer has held {self.root} for {patience} s")
+            time.sleep(0.2)
+        self._mine = mine
+        try:
+            yield
+        finally:
+            if self._holds():
+                self.remove(f"writing/{mine[0]}")
+            self._mine = None
+
+    # Number of the claim and the word written into it, while this object has the right.
+    _mine: tuple[int, str] | None = None
+
+    def _holds(self) -> bool:
+        """Whether the newest claim is this object's own."""
+        number, word = self._mine
+        if self._claims()[-1:] != [number]:
+            return False
+        file, files = self._folder(f"writing/{number}")
+        stream = files.open(file)
+        try:
+            return bytes(stream.readAllBytes()).decode() == word
+        finally:
+            stream.close()
+
+    def _claims(self) -> list[int]:
+        return sorted(int(path.getName()) for path in self._inside("writing") if path.getName().isdigit())
+
+    def _claimed(self) -> tuple[int, str] | None:
+        """Number and word of a claim of one's own, None while another one holds."""
+        held = self._claims()
+        if held:
+            folder, files = self._folder(f"writing/{held[-1]}")
+            if not files.exists(folder):
+                return None
+            changed = files.getFileStatus(folder).getModificationTime() / 1000
+            if time.time() - changed < self.lease:
+                return None
+        number = held[-1] + 1 if held else 1
+        if not self._created_once(f"writing/{number}"):
+            return None
+        # A holder may have come and gone between the two looks; only the newest claim counts.
+        if self._claims()[-1] != number:
+            self.remove(f"writing/{number}")
+            return None
+        word = uuid.uuid4().hex
+        file, files = self._folder(f"writing/{number}")
+        stream = files.create(file, True)
+        stream.write(bytearray(word.encode()))
+        stream.close()
+        for dead in held:
+            self.remove(f"writing/{dead}")
+        return number, word
+
+    def _created_once(self, path: str) -> bool:
+        """Create an empty file unless it is there: of several who try, one succeeds."""
+        file, files = self._folder(path)
+        files.mkdirs(file.getParent())
+        if files.getUri().getScheme() == "file":  # that file system's own create would not tell
+            return self.spark.sparkContext._jvm.java.io.File(file.toUri().getPath()).createNewFile()
+        try:
+            files.create(file, False).close()
+        except Py4JJavaError:
+            if files.exists(file):
+                return False
+            raise
+        return True
+
+    def _require_right(self) -> None:
+        if self._mine is not None and not self._holds():
+            raise RuntimeError("another writer has taken over, as this one held the store too long")
 
     # ------------------------------------------------------------- commits
 
@@ -49,6 +142,7 @@ class Store:
     def publish(self, marks: dict[str, int]) -> None:
         """K9: raise marks, all of them at once, as one new file. Raising the
         mark of a kind makes all tables of its loads visible together."""
+        self._require_right()
         pairs = [
             F.struct(F.lit(kind).alias("kind"), F.lit(load_id).cast("bigint").alias("load_id"))
             for kind, load_id in marks.items()
@@ -61,8 +155,7 @@ class Store:
         return self.marks().get(kind, 0)
 
     def require_free(self, kind: str, load_id: int) -> None:
-        """K9: refuse a load number that is published already. A store has one
-        writer at a time; this tells a second one that it came too late."""
+        """K9: refuse a load number that is published already."""
         newest = self.committed(kind)
         if load_id <= newest:
             raise RuntimeError(f"{kind} load {load_id} is taken, the newest is {newest}")
@@ -157,16 +250,18 @@ class Store:
     def reset(self, *kinds: str) -> None:
         """K8: empty all tables of some kinds by raising the mark below which
         loads are ignored, so numbers start again at 1."""
-        marks = self.marks()
-        self.publish({f"{kind}-reset": marks.get(kind, 0) for kind in kinds})
+        with self.writing():
+            marks = self.marks()
+            self.publish({f"{kind}-reset": marks.get(kind, 0) for kind in kinds})
 
     def reset_all(self) -> None:
         """Empty everything and seed the languages, in one commit."""
-        marks = self.marks()
-        load_id = marks.get("main", 0) + 1
-        self.write("languages", seed_languages(self.spark), load_id)
-        kinds = ("main", "stage", TIMINGS.name, PROFILES.name, LEDGER.name)
-        self.publish({**{f"{kind}-reset": marks.get(kind, 0) for kind in kinds}, "main": load_id})
+        with self.writing():
+            marks = self.marks()
+            load_id = marks.get("main", 0) + 1
+            self.write("languages", seed_languages(self.spark), load_id)
+            kinds = ("main", "stage", TIMINGS.name, PROFILES.name, LEDGER.name)
+            self.publish({**{f"{kind}-reset": marks.get(kind, 0) for kind in kinds}, "main": load_id})
 
     # ------------------------------------------------------------- removal
 

@@ -71,9 +71,8 @@ def stage_stream(
         done = f"stream:{checkpoint_id(store, checkpoint)}"
         if epoch < store.committed(done):
             return
-        load_id = store.committed("stage") + 1
         load_staging(
-            store, with_position(batch), clock(epoch), load_id, on_error, also={done: epoch + 1},
+            store, with_position(batch), clock(epoch), None, on_error, also={done: epoch + 1},
             left_out=lambda broken: note_failed(store, broken),
         )
 

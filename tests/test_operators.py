@@ -288,3 +288,9 @@ def test_extras(spark):
     people = {row.post_ext_id: row for row in extras.profiles(posts).collect()}
     assert people[5].followers_count == 4 and people[6].followers_count == 0
     assert people[5].created_at.isoformat() == "2001-01-01T00:00:00"
+
+
+def test_blank_phrases_ask_for_nothing(spark):
+    posts = spark.createDataFrame([("a bee",), ("",)], "text string")
+    assert posts.where(subscription.tracks(F.col("text"), ["", "  "])).count() == 0
+    assert posts.where(subscription.tracks(F.col("text"), [" ", "bee"])).count() == 1

@@ -4,6 +4,7 @@ import gzip
 import json
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from postmill.operators import key_index
 from postmill.operators.metrics import stored_rates
 from postmill.plans import ledger
 from postmill.plans.load import load_lines, load_staging, merge_staging, scratch_store, stored_near
+from postmill.plans.store import Store
+from postmill.session import side_by_side
 from postmill.sources.lines import read_lines, stream_lines
 from postmill.streaming import ingest
 from postmill.streaming.progress import BatchTimes
@@ -236,3 +239,35 @@ def test_listener_goes_with_a_failing_stream(spark, tmp_path):
         with pytest.raises(Exception, match="line rejected"):
             query.awaitTermination()
         assert times.of(query) == []
+
+
+# ------------------------------------------------------------------- two writers
+
+
+def test_two_writers_lose_no_load(spark, tmp_path):
+    """Two threads, each with a store object of its own, load into one store at once."""
+    root = scratch_store(spark, "shared").root
+    folders = [write_files(tmp_path / str(n), a=[post(10 * n + k, f"text {n} {k}", (n, f"U{n}"), f"q{n}", ["both", f"own{n}"]) for k in range(3)]) for n in (1, 2)]
+    run = [lambda folder=folder: load_lines(Store(spark, root), read_lines(spark, folder), NOON) for folder in folders]
+    side_by_side(spark, *run)
+    main = Store(spark, root).main()
+    assert rows(main["posts"], "post_ext_id") == [(10 * n + k,) for n in (1, 2) for k in range(3)]
+    tags = rows(main["tags"], "tag_id", "name")
+    assert [number for number, _ in tags] == [1, 2, 3] and {name for _, name in tags} == {"both", "own1", "own2"}
+    assert len({number for number, in rows(main["posts"], "post_id")}) == 6 and main["post_tag"].count() == 12
+    assert Store(spark, root)._claims() == []
+
+
+def test_a_dead_writer_is_overtaken_and_a_slow_one_told(spark):
+    store = scratch_store(spark, "claims")
+    other = Store(spark, store.root, lease=0.3)
+    with pytest.raises(RuntimeError, match="another writer has taken over"), store.writing():
+        with pytest.raises(TimeoutError, match="another writer has held"), Store(spark, store.root).writing(patience=0.1):
+            pass
+        time.sleep(0.5)
+        with other.writing():
+            other.publish({"main": 7})
+        with other.writing(), pytest.raises(RuntimeError, match="taken over"):
+            store.publish({"main": 8})
+        store.publish({"main": 8})
+    assert store.committed("main") == 7
