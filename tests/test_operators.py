@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from postmill.operators import audit, extras, joins, keys, metrics, pick
+from postmill.operators import audit, extras, joins, keys, metrics, pick, subscription
 from postmill.operators.subscription import subscribed
 from postmill.plans.load import scratch_store
 from postmill.schema import MAIN, PROFILES, TIMINGS, TableSpec
