@@ -379,3 +379,33 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)], "a long, b long")
     got = dict(components(links).collect())
     assert {got[i] for i in range(41)} == {0} and {got[i] for i in (90, 95, 100)} == {90}
+
+
+def test_repeated_labels_change_a_document_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b", "en", "s", "T"), (2, "c d e", "en", "s", "T")], "doc_id long, text string, lang string, source string, Text string")
+    labels = spark.createDataFrame([(1, 1, 1), (1, 0, 1), (None, 0, 1), (2, None, None)], "doc_id long, quality int, toxic int")
+    worst = token_counts.worst_labels(labels)
+    assert plain(worst.collect()) == plain([(1, 0, 1), (2, None, None)])
+    counted = token_counts.counted(docs)
+    rollup = token_counts.Rollup(spark, str(tmp_path / "rollup"))
+    rollup.commit("arrival", token_counts.inserts(counted))
+    rollup.commit("toxic", token_counts.deletes(counted.join(worst, "doc_id").where("toxic = 1")))
+    totals = {row["tokenizer"]: (row["docs"], row["tokens"]) for row in rollup.totals().collect()}
+    assert totals == {"words/1": (1, 3), "pieces/1": (1, 3)}
+
+
+@pytest.mark.parametrize("rare, chunk", [(20, 2), (7, 1), (1000, 20)])
+def test_frequent_shingles_are_exact(spark, docs, monkeypatch, rare, chunk):
+    """Whatever the chunks and rounds, the shingles in over n / RARE texts and their counts."""
+    for name, value in {"RARE": rare, "CHUNK": chunk, "_SHINGLES_AT_ONCE": 500}.items():
+        monkeypatch.setattr(weighted_minhash, name, value)
+    texts = docs.select("text").unionByName(docs.select("text").limit(30)).repartition(8)
+    n = texts.count()
+    hashes, counts = weighted_minhash.frequent_shingles(texts, n)
+    want = collections.Counter()
+    for row in texts.collect():
+        words = WORD.findall(row["text"] or "")
+        windows = {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+        want.update(windows)
+    frequent = sorted(count for count in want.values() if count > max(n / rare, 1))
+    assert sorted(counts.tolist()) == frequent and len(set(hashes.tolist())) == len(frequent)
