@@ -15,6 +15,7 @@ from postmill.session import scratch_path
 from postmill.sources.lines import rechunk_lines, read_lines, stream_lines
 from postmill.sources.tables import read_table
 from postmill.streaming.ingest import FILES_PER_TRIGGER, drain, load_stream
+from postmill.streaming.unique import write_unique
 
 
 def _event_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,6 +76,20 @@ def stream_two_sources(spark, folder):
     return store.main()["posts"].groupBy("post_ext_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_unique(spark, folder):
+    """Many files, posts in no order and some twice, the stream stopped half way; then
+    every post once more. Each is written once."""
+    path, log, out = (scratch_path(spark, f"unique-{part}") for part in ("files", "log", "out"))
+    lines = _event_lines(spark, folder).where("value <> ''")
+    half = F.pmod(F.xxhash64("value", F.lit(1)), F.lit(2))
+    post = F.get_json_object("value", "$.id").cast("bigint").alias("post_ext_id")
+    for some in (lines.where(half == 0), lines):
+        some.repartition(8, F.xxhash64("value", F.lit(2))).write.mode("append").text(path)
+        posts = stream_lines(spark, path, "*.txt", 3).select(post)
+        write_unique(posts, ["post_ext_id"], out, log).awaitTermination()
+    return spark.read.schema("post_ext_id bigint").parquet(out).groupBy("post_ext_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 FILES = 8
 
 
@@ -140,6 +155,7 @@ ENTRIES = {
         "select row_number() over (order by event_id) post_id, event_id post_ext_id, concat('User ', user_id) user_name,"
         " concat(event_type, ' ', props) as text, 37::bigint lang_id from events where event_type <> 'signup'",
     ),
+    "stream_unique": Entry(stream_unique, "select event_id post_ext_id, 1::bigint n from events where event_type <> 'signup'"),
     "stream_two_sources": Entry(
         stream_two_sources,
         "select event_id post_ext_id, 1::bigint n from events where event_type <> 'signup'",

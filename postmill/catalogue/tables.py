@@ -15,6 +15,7 @@ from postmill.functions import scalar, text
 from postmill.operators import audit, joins, keys, metrics, pick
 from postmill.operators.parse import parse_json
 from postmill.operators.subscription import subscribed
+from postmill.operators.subscription_index import matching_subscriptions
 from postmill.schema import TableSpec
 from postmill.sources.tables import generated_users, read_table, spread
 
@@ -85,6 +86,47 @@ def subscription_box(spark, folder):
     return orders.where(wanted).select("o_orderkey")
 
 
+def subscriptions_matched(spark, folder):
+    """One subscription per part (words, a followed user, a box, a level), the events as posts."""
+    events = spread(read_table(spark, folder, "events"))
+    posts = events.select(
+        F.col("event_id").alias("post_id"),
+        F.concat_ws(" ", "event_type", "props").alias("text"),
+        "user_id",
+        F.col("value").alias("lon"),
+        F.col("user_id").cast("double").alias("lat"),
+        F.col("event_type").alias("filter_level"),
+    )
+    part, size = F.col("p_partkey"), F.col("p_size")
+    boxed = part % 7 == 0
+    subscriptions = read_table(spark, folder, "part").select(
+        part.alias("subscription_id"),
+        F.array(
+            F.when(part % 10 == 0, F.concat(F.lit("VIEW "), size)),
+            F.when(part % 10 == 1, F.concat_ws(" ", size + 40, F.lit("click"), F.lit('"k"'))),
+            F.lit(" "),
+        ).alias("phrases"),
+        F.when(part % 5 == 0, F.array(part, part + 1)).alias("users"),
+        F.when(boxed, size).alias("west"),
+        F.when(boxed, size + 0.5).alias("east"),
+        F.when(boxed, 0).alias("south"),
+        F.when(boxed, 20).alias("north"),
+        F.when(part % 4 == 1, "click").alias("filter_level"),
+    )
+    return matching_subscriptions(posts, subscriptions)
+
+
+_SUBSCRIBED = (
+    "with e as (select *, lower(concat_ws(' ', event_type, props)) as t from events)"
+    " select p_partkey as subscription_id, event_id as post_id from part, e where ("
+    " (p_partkey % 10 = 0 and contains(t, 'view') and contains(t, p_size::varchar))"
+    " or (p_partkey % 10 = 1 and contains(t, 'click') and contains(t, '\"k\"') and contains(t, (p_size + 40)::varchar))"
+    " or (p_partkey % 5 = 0 and user_id in (p_partkey, p_partkey + 1))"
+    " or (p_partkey % 7 = 0 and value between p_size and p_size + 0.5 and user_id between 0 and 20))"
+    " and (p_partkey % 4 <> 1 or event_type = 'click')"
+)
+
+
 def row_preview(spark, folder):
     return read_table(spark, folder, "documents").select("doc_id", text.preview(F.col("text")).alias("preview"))
 
@@ -436,6 +478,7 @@ ENTRIES = {
         " where contains(lower(o_orderpriority), 'urgent')"
         " or (o_totalprice between 100000 and 200000 and c_acctbal between 0 and 5000)",
     ),
+    "subscriptions_matched": Entry(subscriptions_matched, _SUBSCRIBED),
     "row_preview": Entry(row_preview, "select doc_id, substr(text, 1, 250) preview from documents"),
     "filter_equal_sorted": Entry(
         filter_equal_sorted, "select event_id, value from events where event_type = 'error' order by value, event_id"

@@ -103,3 +103,19 @@ def test_land_what_is_wanted(spark, tmp_path):
     wanted = tracks(F.col("value"), ["bee"])
     ingest.land(stream_lines(spark, folder), out, str(tmp_path / "log"), wanted).awaitTermination()
     assert rows(spark.read.text(out), "value") == [("BEEs too",), ("a bee",)]
+
+
+def test_a_key_comes_once_however_late(spark, tmp_path):
+    from postmill.streaming.unique import STATE_ON_DISK, write_unique
+
+    before = {name: spark.conf.get(name, None) for name in STATE_ON_DISK}
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    for turn, ids in enumerate([[1, 2, 1], [None, 3], [2, 1, 9, None], [], [3, 4]]):
+        folder = write_files(tmp_path / "in", **{f"f{turn}": ["" if i is None else str(i) for i in ids]})
+        keys = stream_lines(spark, folder, files_per_trigger=1).select(F.col("value").try_cast("bigint").alias("id"))
+        query = write_unique(keys, ["id"], out, log)
+        query.awaitTermination()
+    found = [row.id for row in spark.read.schema("id bigint").parquet(out).collect()]
+    assert sorted(found, key=str) == [1, 2, 3, 4, 9, None]
+    assert query.lastProgress is None or query.lastProgress["stateOperators"][0]["numRowsTotal"] == 6
+    assert {name: spark.conf.get(name, None) for name in STATE_ON_DISK} == before
