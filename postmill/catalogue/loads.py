@@ -12,6 +12,7 @@ from postmill.operators import audit, metrics
 from postmill.operators.key_index import loads_holding
 from postmill.operators.parse import good_posts, parse_lines, rejects, status_counts
 from postmill.plans import stage
+from postmill.plans.audits import NAMES, audit_loads, running_totals
 from postmill.plans.load import load_lines, load_staging, merge_staging, scratch_store
 from postmill.plans.store import Store
 from postmill.schema import MAIN, STAGING
@@ -318,6 +319,41 @@ _RESUMED = (
 )
 
 
+def audits_by_load(spark, folder):
+    """Q1-Q4: two files loaded and audited one after the other, each load over its own rows;
+    the running totals after the second are the audits of the whole store."""
+    store, lines = scratch_store(spark, "audits"), feed_lines(spark, folder)
+    for file in ("feed-F", "feed-O"):
+        load_lines(store, lines.where(F.col("src_file") == file), INGEST_TS)
+        audit_loads(store)
+    last = store.committed("main")
+    return running_totals(store).where(F.col("load_id") == last).select("audit", "total")
+
+
+_RESUMED_PAIRS = f"(select distinct post_ext_id, name from {_POST_TAGS})"
+_RESUMED_TEXTS = f"(select post_ext_id, text from ({_RESUMED}))"
+_AUDITS = (
+    f"with p as {_RESUMED_PAIRS}, t as {_RESUMED_TEXTS},"
+    " w as (select post_ext_id, regexp_extract(text, '#(\\w+),', 1) as tag from t"
+    " union select post_ext_id, regexp_extract(text, '#(\\w+)!', 1) from t)"
+    f" select '{NAMES['Q1']}' as audit, count(*) as total from p join t using (post_ext_id) where not contains(lower(text), name)"
+    f" union all select '{NAMES['Q2']}', count(*) from w where not exists"
+    " (select 1 from p where p.post_ext_id = w.post_ext_id and p.name = w.tag)"
+    f" union all select '{NAMES['Q3']}', count(*) from p join t using (post_ext_id) where name <> text"
+    f" union all select '{NAMES['Q4']}', 0"
+    f" union all select concat('rows in ', t), n from ({_COUNTS}) where t not like '%_stage'"
+)
+
+
+def footer_totals(spark, folder):
+    """Rows and largest key of each main table, read from the footers of its files."""
+    store = _loaded(spark, folder)
+    marks = store.marks()
+    found = [(name, *store.totals(name, spec.key[0], marks)) for name, spec in MAIN.items()]
+    rows = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(n).cast("bigint").alias("n"), F.lit(m).cast("bigint").alias("largest")) for t, n, m in found))
+    return spark.range(1, numPartitions=1).select(F.inline(rows))
+
+
 # ------------------------------------------------------------- rules at write
 
 
@@ -448,6 +484,8 @@ ENTRIES = {
         f"select * from (values {seed_values()}) seeds(lang_id, short_code, name)"
         f" union all select lang_id, lang, '' from {_LANG_IDS} where lang_id > 188",
     ),
+    "audits_by_load": Entry(audits_by_load, _AUDITS),
+    "footer_totals": Entry(footer_totals, f"select t, n, n as largest from ({_COUNTS}) where t not like '%_stage'"),
     "quarantined_rows": Entry(quarantined_rows, _QUARANTINED),
     "load_too_long": Entry(load_too_long, _TOO_LONG),
     "loads_with_late_posts": Entry(loads_with_late_posts, _LATE),

@@ -12,7 +12,7 @@ from postmill.operators.key_index import hits, index_of, narrowed
 from postmill.operators.metrics import StepTimer
 from postmill.operators.parse import broken_files, good_posts, limited, parse_lines, rejects
 from postmill.plans import merge, stage
-from postmill.plans.store import Store
+from postmill.plans.store import SPECS, Store
 from postmill.schema import KEY_INDEX, PROFILES, REJECTS, TIMINGS
 from postmill.session import durable, scratch_path, side_by_side
 
@@ -154,15 +154,19 @@ def _merge_staging(store: Store, keep_duplicates: bool, timer: StepTimer | None)
     load_id = marks.get("main", 0) + 1
     staged, main = store.staging(marks, waiting_only=True), store.main(marks)
 
+    def base(name: str) -> int:
+        return store.totals(name, SPECS[name].key[0], marks)[1]
+
     def users_posts_and_pairs() -> None:
-        users = store.write("users", merge.new_users(staged["users_stage"], main["users"]), load_id, timer)
+        fresh_users = merge.new_users(staged["users_stage"], main["users"], base("users"))
+        users = store.write("users", fresh_users, load_id, timer)
         stored = stored_near(store, "posts", staged["posts_stage"], marks)
         everyone = main["users"].unionByName(users)
-        fresh = merge.new_posts(staged["posts_stage"], everyone, stored, main["posts"])
+        fresh = merge.new_posts(staged["posts_stage"], everyone, stored, base("posts"))
         posts = store.write("posts", fresh, load_id, timer)
         pairs = stored_near(store, "post_tag", staged["post_tag_stage"], marks)
         linked = merge.new_pairs(
-            staged["post_tag_stage"], stored.unionByName(posts), pairs, main["post_tag"], keep_duplicates
+            staged["post_tag_stage"], stored.unionByName(posts), pairs, base("post_tag"), keep_duplicates
         )
         linked = store.write("post_tag", linked, load_id, timer)
         marked = [index_of(rows, INDEXED[name], name) for name, rows in {"posts": posts, "post_tag": linked}.items()]

@@ -18,25 +18,27 @@ def new_languages(lang_stage: DataFrame, languages: DataFrame) -> DataFrame:
     return fresh.withColumn("name", F.lit("")).select(*MAIN["languages"].columns)
 
 
-def new_users(users_stage: DataFrame, users: DataFrame) -> DataFrame:
-    """Users not stored yet, one name each."""
+def new_users(users_stage: DataFrame, users: DataFrame, base: int | None = None) -> DataFrame:
+    """Users not stored yet, one name each. ``base`` is the largest number in
+    use, if it is known already."""
     fresh = missing_from(one_name_per_user(users_stage), users, "user_ext_id")
-    return dense_ids(fresh, "user_ext_id", "user_id", largest_id(users, "user_id")).select(*MAIN["users"].columns)
+    base = largest_id(users, "user_id") if base is None else base
+    return dense_ids(fresh, "user_ext_id", "user_id", base).select(*MAIN["users"].columns)
 
 
-def new_posts(posts_stage: DataFrame, users: DataFrame, posts: DataFrame, all_posts: DataFrame | None = None) -> DataFrame:
+def new_posts(posts_stage: DataFrame, users: DataFrame, posts: DataFrame, base: int | None = None) -> DataFrame:
     """The latest copy of every post not stored yet.
 
     Winner, user and number are settled on the narrow columns. The texts cross
     the network once, in the join that keeps the winning lines. ``posts`` may be
-    the part of the table that can match; ``all_posts`` then gives the largest
+    the part of the table that can match; ``base`` then gives the largest
     number in use.
     """
     narrow = posts_stage.select("post_ext_id", "user_ext_id", "ingest_ts", "src_file", "pos")
     fresh = missing_from(latest_copy(narrow), posts, "post_ext_id")
     owners = measured(users.select("user_ext_id", "user_id"))
     keyed = lookup_join(fresh if owners.small else durable(fresh), owners, "user_ext_id", ["post_ext_id"])
-    base = largest_id(posts if all_posts is None else all_posts, "post_id")
+    base = largest_id(posts, "post_id") if base is None else base
     numbered = dense_ids(keyed.select("post_ext_id", "user_id", "src_file", "pos"), "post_ext_id", "post_id", base)
     lines = posts_stage.select("post_ext_id", "src_file", "pos", "created_at", "text", "lang_id", "ingest_ts")
     kept = lines.join(numbered, ["post_ext_id", "src_file", "pos"]).sortWithinPartitions("post_ext_id")
@@ -52,7 +54,7 @@ def new_pairs(
     post_tag_stage: DataFrame,
     posts: DataFrame,
     post_tag: DataFrame,
-    all_pairs: DataFrame | None = None,
+    base: int | None = None,
     keep_duplicates: bool = False,
 ) -> DataFrame:
     """Post-tag pairs of stored posts.
@@ -68,7 +70,7 @@ def new_pairs(
     else:
         pairs = missing_from(post_tag_stage.select("post_ext_id", "tag_id").distinct(), post_tag, "post_ext_id", "tag_id")
         linked = pairs.withColumn("_copy", F.lit(1)).join(side, "post_ext_id")
-    base = largest_id(post_tag if all_pairs is None else all_pairs, "post_tag_id")
+    base = largest_id(post_tag, "post_tag_id") if base is None else base
     rows = linked.select("post_ext_id", "post_id", "tag_id", "_copy")
     numbered = dense_ids(rows, ["post_ext_id", "tag_id", "_copy"], "post_tag_id", base)
     return numbered.select(*MAIN["post_tag"].columns)

@@ -12,6 +12,7 @@ import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cached_property
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from postmill.operators.metrics import StepTimer
 from postmill.operators.rules import CHOICES, FAIL, QUARANTINE, REPORT, first_break, refused
-from postmill.schema import KEY_INDEX, LEDGER, MAIN, PROFILES, REJECTS, STAGING, TIMINGS, TableSpec
+from postmill.schema import AUDITS, KEY_INDEX, LEDGER, MAIN, PROFILES, REJECTS, STAGING, TIMINGS, TableSpec
 from postmill.sources.tables import declared_empty, seed_languages
 
 _COMMITS = "kind string, load_id bigint"
@@ -27,7 +28,7 @@ _COMMITS = "kind string, load_id bigint"
 SPECS: dict[str, TableSpec] = {
     **STAGING,
     **MAIN,
-    **{spec.name: spec for spec in (REJECTS, TIMINGS, PROFILES, LEDGER, KEY_INDEX)},
+    **{spec.name: spec for spec in (REJECTS, TIMINGS, PROFILES, LEDGER, KEY_INDEX, AUDITS)},
 }
 
 _BROKEN = {"rule": "string", "on": "string", "row": "string"}
@@ -176,17 +177,45 @@ class Store:
         return self._visible(name, SPECS[name].columns, name, after, marks)
 
     def _visible(
-        self, folder: str, columns: dict[str, str], name: str, after: int, marks: dict[str, int] | None
+        self,
+        folder: str,
+        columns: dict[str, str],
+        name: str,
+        after: int,
+        marks: dict[str, int] | None,
+        spark: SparkSession | None = None,
     ) -> DataFrame:
         kind, columns = self._kind(name), {**columns, "load_id": "bigint"}
         marks = self.marks() if marks is None else marks
         low, high = max(after, marks.get(f"{kind}-reset", 0)), marks.get(kind, 0)
         if high <= low or not self._there(folder):
-            return declared_empty(self.spark, columns)
+            return declared_empty(spark or self.spark, columns)
         ddl = ", ".join(f"`{column}` {kind}" for column, kind in columns.items())
-        rows = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}")
+        rows = (spark or self.spark).read.schema(ddl).parquet(f"{self.root}/{folder}")
         return rows.where((F.col("load_id") > low) & (F.col("load_id") <= high))
 
+    @cached_property
+    def _footers(self) -> SparkSession:
+        """A session with settings of its own, in which counts and largest values of
+        Parquet tables are taken from the footers of their files."""
+        session = self.spark.newSession()
+        others = [source for source in session.conf.get("spark.sql.sources.useV1SourceList").split(",") if source != "parquet"]
+        session.conf.set("spark.sql.sources.useV1SourceList", ",".join(others))
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        return session
+
+    def footer_totals(self, name: str, key: str, marks: dict[str, int] | None = None) -> DataFrame:
+        """One row: ``n`` and ``largest`` of the committed rows of a table. The frame belongs
+        to a session of its own and cannot be joined with others; see :meth:`totals`."""
+        rows = self._visible(name, SPECS[name].columns, name, 0, marks, self._footers)
+        return rows.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("largest"))
+
+    def totals(self, name: str, key: str, marks: dict[str, int] | None = None) -> tuple[int, int]:
+        """How many rows a table has and its largest ``key``, a whole number, 0
+        without rows. The work grows with the number of files; no row is read."""
+        row = self.footer_totals(name, key, marks).first()
+        return row["n"] or 0, row["largest"] or 0  # without a file the pushed count is a null sum
+
     def loads_after_reset(self, name: str, marks: dict[str, int]) -> range:
         """The numbers of the loads whose rows :meth:`read` gives."""
         kind = self._kind(name)
@@ -260,7 +289,7 @@ class Store:
             marks = self.marks()
             load_id = marks.get("main", 0) + 1
             self.write("languages", seed_languages(self.spark), load_id)
-            kinds = ("main", "stage", TIMINGS.name, PROFILES.name, LEDGER.name)
+            kinds = ("main", "stage", TIMINGS.name, PROFILES.name, LEDGER.name, AUDITS.name)
             self.publish({**{f"{kind}-reset": marks.get(kind, 0) for kind in kinds}, "main": load_id})
 
     # ------------------------------------------------------------- removal

@@ -214,6 +214,16 @@ LEDGER = TableSpec(
     required=("path", "src_file", "attempt", "outcome"),
 )
 
+# What the audits of a load found.
+AUDITS = TableSpec(
+    "audits",
+    {
+        "audit": "string",
+        "n": "bigint",
+    },
+    required=("audit", "n"),
+)
+
 # Which keys a load added to a table: one bit per run of 2^shift keys.
 KEY_INDEX = TableSpec(
     "key_index",
