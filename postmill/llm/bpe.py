@@ -30,8 +30,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 OTHER, LETTER, NUMBER, BLANK = 0, 1, 2, 3
 
 #: Pieces of more bytes are not remembered; so many are at most, then all are forgotten.
-#: With its entry a piece takes 150 bytes or so, a process 15 MB.
-REMEMBERED_BYTES, REMEMBERED_PIECES = 48, 100_000
+#: With its entry a piece takes 150 bytes or so, a process 45 MB; tasks that follow in the
+#: same process find what earlier ones have met.
+REMEMBERED_BYTES, REMEMBERED_PIECES = 48, 300_000
 #: About so many ids of one text are turned into numbers and bytes at a time.
 _IDS_AT_ONCE = 1 << 18
 
@@ -225,7 +226,6 @@ def encode(
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 yield batch_of(tokenizer, whole.slice(begin, 256))
-        tokenizer.known.clear()  # the process outlives the task and may serve other work
 
     def batch_of(tokenizer: Tokenizer, batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, ids_sha, decoded_sha, lists = [], [], [], []
