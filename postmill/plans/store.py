@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from functools import cached_property
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from postmill.schema import AUDITS, KEY_INDEX, LEDGER, MAIN, PROFILES, REJECTS,
 from postmill.sources.tables import declared_empty, seed_languages
 
 _COMMITS = "kind string, load_id bigint"
+#: Files of commits that a reader opens at most, about; one more and they become one.
+COMMIT_FILES = 32
 
 SPECS: dict[str, TableSpec] = {
     **STAGING,
@@ -130,20 +133,51 @@ class Store:
 
     # ------------------------------------------------------------- commits
 
-    def _commits(self) -> DataFrame:
-        if not self._there("commits"):
-            return declared_empty(self.spark, {"kind": "string", "load_id": "bigint"})
-        return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+    def _commit_files(self) -> list[str]:
+        return sorted(path.getName() for path in self._inside("commits") if path.getName().endswith(".parquet"))
 
-    def marks(self) -> dict[str, int]:
-        """Newest load of each kind of commit, a handful in all."""
-        newest = self._commits().groupBy("kind").agg(F.max("load_id").alias("n"))
+    def _newest_in(self, files: list[str]) -> dict[str, int]:
+        if not files:
+            return {}
+        rows = self.spark.read.schema(_COMMITS).parquet(*(f"{self.root}/commits/{file}" for file in files))
+        newest = rows.groupBy("kind").agg(F.max("load_id").alias("n"))
         return {row["kind"]: row["n"] for row in newest.collect()}
 
+    def marks(self) -> dict[str, int]:
+        """Newest load of each kind of commit, a handful in all.
+
+        Files that have meanwhile become one are looked for anew: their marks stand in
+        a file that was there before they went.
+        """
+        while True:
+            files = self._commit_files()
+            try:
+                return self._newest_in(files)
+            except (PySparkException, Py4JJavaError):
+                if all(self._there(f"commits/{file}") for file in files):
+                    raise
+
+    def _fold_commits(self) -> None:
+        """K8: put one file with the marks of all in place of many, while loads run.
+
+        Marks only rise, so the order of commits does not matter, and a commit that comes
+        meanwhile has a file that is not among these. Their marks are written before
+        they go; cut short, a mark stands twice, which changes nothing.
+        """
+        files = self._commit_files()
+        if len(files) > COMMIT_FILES:
+            self._append_marks(self._newest_in(files))
+            for file in files:
+                self.remove(f"commits/{file}")
+
     def publish(self, marks: dict[str, int]) -> None:
         """K9: raise marks, all of them at once, as one new file. Raising the
         mark of a kind makes all tables of its loads visible together."""
         self._require_right()
+        self._append_marks(marks)
+        self._fold_commits()
+
+    def _append_marks(self, marks: dict[str, int]) -> None:
         pairs = [
             F.struct(F.lit(kind).alias("kind"), F.lit(load_id).cast("bigint").alias("load_id"))
             for kind, load_id in marks.items()
@@ -322,10 +356,11 @@ class Store:
         marks = self.marks()
         if not marks:
             return
-        old = self._inside("commits")
-        self.publish(marks)
+        self._require_right()
+        old = self._commit_files()
+        self._append_marks(marks)
         for file in old:
-            self.remove(f"commits/{file.getName()}")
+            self.remove(f"commits/{file}")
         for name in SPECS:
             emptied = marks.get(f"{self._kind(name)}-reset", 0)
             for table in (name, f"broken/{name}"):
