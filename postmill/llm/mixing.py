@@ -14,6 +14,8 @@ are together in one task.
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,8 +26,9 @@ from postmill.operators.joins import fits_broadcast
 from postmill.operators.keys import dense_ids
 
 MOST_TIMES = 3
-#: Lengths of up to this many words take part in the exact filling, whose table has as many bits.
-KNAPSACK_WORDS = 1 << 15
+#: Bits of the table of sums: at least so many, and so many times the longest document's words,
+#: so that documents of every length take part.
+LEAST_ROOM, ROOM_TIMES = 1 << 18, 8
 
 
 def size_of(text: Column) -> Column:
@@ -75,31 +78,30 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.
     taken[:] = [int(count) * budget // total for count in counts.tolist()]
     taken[lengths == 0] = 0
     rest = budget - int((lengths * taken).sum())
-    # Whole documents in a seeded order of lengths, until the table can hold what is missing.
+    # Far from the budget, whole documents in a seeded order of lengths. What is left
+    # over is always several times the longest document, for the table to choose in.
+    room = max(LEAST_ROOM, ROOM_TIMES * int(lengths.max()))
     for i in np.random.default_rng(seed).permutation(len(lengths)):
-        if rest <= KNAPSACK_WORDS:
+        if rest <= room:
             break
         if lengths[i] > 0:
-            more = int(min(counts[i] - taken[i], (rest - KNAPSACK_WORDS // 2) // lengths[i]))
+            more = int(min(counts[i] - taken[i], (rest - room // 2) // lengths[i]))
             if more > 0:
                 taken[i] += more
                 rest -= more * int(lengths[i])
-    for i in np.argsort(-lengths, kind="stable"):  # only documents about as long as what is missing are left
-        if rest <= KNAPSACK_WORDS:
-            break
-        if lengths[i] > 0:
-            more = int(min(counts[i] - taken[i], rest // lengths[i]))
-            taken[i] += more
-            rest -= more * int(lengths[i])
-    return taken + _knapsack(lengths, counts - taken, min(rest, KNAPSACK_WORDS), seed)
+    return taken + _knapsack(lengths, counts - taken, rest, seed)
 
 
 def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
-    """Bounded subset sum. Bit s of ``reach`` says that s words can be had from the
-    lengths so far; parts of 1, 2, 4 ... documents stand for any number of them.
-    Lengths come in a seeded order, in which few of them reach most sums."""
-    mask, reach = (1 << (budget + 1)) - 1, 1
-    steps: list[tuple[int, int, int]] = []  # length, documents, what was reachable before
+    """Bounded subset sum: the largest sum up to the budget that the lengths allow.
+
+    Bit s of ``reach`` says that s words can be had from the lengths so far; parts of
+    1, 2, 4 ... documents stand for any number of them. Lengths come in a seeded
+    order, in which few of them reach most sums. ``reach`` is kept at every
+    ``stride``-th step only, the square root of their number; on the way back the
+    steps between two of those are done once more.
+    """
+    steps: list[tuple[int, int]] = []  # length, documents
     for i in np.random.default_rng(seed + 1).permutation(len(lengths)):
         length, left = int(lengths[i]), int(counts[i])
         if not 0 < length <= budget:
@@ -107,17 +109,32 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -
         left, part = min(left, budget // length), 1
         while left > 0:
             part = min(part, left)
-            steps.append((int(i), part, reach))
-            reach |= (reach << (part * length)) & mask
+            steps.append((int(i), part))
             left, part = left - part, part * 2
+    mask, stride = (1 << (budget + 1)) - 1, max(isqrt(len(steps)), 1)
+
+    def after(reach: int, step: tuple[int, int]) -> int:
+        return reach | (reach << (step[1] * int(lengths[step[0]]))) & mask
+
+    kept, reach = [], 1
+    for number, step in enumerate(steps):
+        if number % stride == 0:
+            kept.append(reach)
+        reach = after(reach, step)
         if reach >> budget & 1:
+            steps = steps[: number + 1]
             break
     taken = np.zeros(len(lengths), dtype=np.int64)
-    at = reach.bit_length() - 1  # the largest sum up to the budget
-    for i, part, before in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += part
-            at -= part * int(lengths[i])
+    at = reach.bit_length() - 1
+    while kept:
+        before = [kept.pop()]
+        block = steps[len(kept) * stride : (len(kept) + 1) * stride]
+        for step in block[:-1]:
+            before.append(after(before[-1], step))
+        for (i, part), earlier in zip(reversed(block), reversed(before), strict=True):
+            if not earlier >> at & 1:
+                taken[i] += part
+                at -= part * int(lengths[i])
     return taken
 
 
