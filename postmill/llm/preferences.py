@@ -5,13 +5,15 @@ prefix of turns is rendered once, as the prompt; what follows in either is its
 completion, with the places of what the assistant says as the loss mask.
 
 Turns meet turns by (pair, turn number), so no conversation is in one place before it
-is written; a rendered row holds at most ``TURNS_PER_ROW`` turns of each part, and
-longer conversations go on in further rows (``block``).
+is written; a rendered row holds at most ``turns_per_row`` turns of each part, and
+longer conversations go on in further rows (``block``). Rows of a pair, put together in
+the order of their blocks, are the whole: texts go on where the row before ends,
+and places and counts are those of the whole conversation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: How a turn is written.
@@ -32,11 +34,14 @@ def one_per_turn(turns: DataFrame, *keys: str) -> DataFrame:
     return turns.groupBy(*keys).agg(F.min(said).alias("said"))
 
 
-def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
+def format_pairs(chosen: DataFrame, rejected: DataFrame, turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
     """``pair``, ``block``, ``n_common``, ``prompt``, ``chosen``, ``rejected``, ``chosen_mask``, ``rejected_mask``.
 
     Both frames have ``pair, turn, role, text``. Masks are arrays of (begin, end), in
-    characters of the completion beside them, of the assistant's words. A turn
+    characters of the whole completion, of the assistant's words; ``n_common`` counts the
+    turns of the whole prompt. How many rows a pair has, by ``turns_per_row``, changes
+    none of them: rows of a pair with their texts and masks joined by ``block`` are
+    the same for every value. A turn
     is common if all up to it are equal on both sides, nulls included. A pair
     with one side only has no common turn and an empty other side; equal sides
     have empty completions. Rows without a pair or turn number are left out; an
@@ -65,18 +70,34 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
         F.length(F.concat(F.lit(OPEN), F.coalesce("p.said.role", F.lit("")), F.lit(MIDDLE))).alias("head"),
         F.coalesce(F.col("p.said.role") == SPOKEN, F.lit(False)).alias("spoken"),
     )
-    block = F.floor(F.col("turn") / TURNS_PER_ROW).alias("block")
+    block = F.floor(F.col("turn") / turns_per_row).alias("block")
     keyed = placed.select("pair", block, "p.part", segment.alias("s"))
     gathered = keyed.groupBy("pair", "block").agg(
         *(F.sort_array(F.collect_list(F.when(F.col("part") == part, F.col("s")))).alias(name) for part, name in enumerate("pcr")),
     )
 
+    # Where each row's parts begin in the whole: sums of lengths, a few numbers a row.
+    def amount(part: int, what: Column) -> Column:
+        return F.sum(F.when(F.col("part") == part, what).otherwise(0)).cast("bigint")
+
+    sums = keyed.groupBy("pair", "block").agg(
+        amount(0, F.lit(1)).alias("common"), amount(1, F.length("s.shown")).alias("c_more"), amount(2, F.length("s.shown")).alias("r_more")
+    )
+    rows_before = Window.partitionBy("pair").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        "pair",
+        "block",
+        F.sum("common").over(Window.partitionBy("pair")).alias("n_common"),
+        *(F.coalesce(F.sum(f"{name}_more").over(rows_before), F.lit(0)).alias(f"{name}_start") for name in "cr"),
+    )
+    gathered = gathered.join(starts, ["pair", "block"])
+
     def shown(name: str) -> Column:
         return F.array_join(F.transform(name, lambda s: s["shown"]), "")
 
     def mask(name: str) -> Column:
-        nothing = F.array().cast("array<struct<begin:int,end:int>>")
-        start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
+        nothing = F.array().cast("array<struct<begin:bigint,end:bigint>>")
+        start = F.struct(F.col(f"{name}_start").alias("at"), nothing.alias("spans"))
 
         def step(state: Column, s: Column) -> Column:
             end = state["at"] + F.length(s["shown"])
@@ -89,7 +110,7 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     return gathered.select(
         "pair",
         "block",
-        F.size("p").cast("bigint").alias("n_common"),
+        "n_common",
         shown("p").alias("prompt"),
         shown("c").alias("chosen"),
         shown("r").alias("rejected"),

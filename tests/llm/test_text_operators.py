@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+from itertools import product
 from pathlib import Path
 
 import duckdb
@@ -243,6 +244,53 @@ def test_winnowing(docs):
         assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
 
 
+def test_mixing_reaches_sums_of_long_documents(spark):
+    lengths = np.array([40_000, 50_000, 60_000])
+    for seed in range(6):
+        assert mixing.fill(lengths, np.array([1, 1, 1]), 100_000, seed).tolist() == [1, 0, 1]
+    # Two sources of the same weights as sizes: 1/3 and 2/3 of 210,000 words, of which "a" has 150,000.
+    sizes = [("a", 40_000), ("a", 50_000), ("a", 60_000), ("b", 30_000), ("b", 30_000)]
+    rows = [(i, "w " * n, source) for i, (source, n) in enumerate(sizes)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = collections.Counter(), {}
+    for row in mixed:
+        taken[sizes[row["doc_id"]][0]] += row["taken"]
+        target[sizes[row["doc_id"]][0]] = row["target"]
+    assert target == {"a": 70_000, "b": 140_000}
+    assert taken == {"a": 60_000, "b": 120_000}  # the most that whole documents allow
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_knapsack_reaches_the_largest_sum(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.sort(rng.choice(60_000, int(rng.integers(1, 6)), replace=False))
+    counts = rng.integers(1, 4, len(lengths))
+    budget = int(rng.integers(0, int((lengths * counts).sum()) + 2))
+    taken = mixing._knapsack(lengths, counts, budget, seed)
+    sums = [sum(n * int(length) for n, length in zip(some, lengths, strict=True)) for some in product(*(range(c + 1) for c in counts))]
+    assert ((taken >= 0) & (taken <= counts)).all()
+    assert int((taken * lengths).sum()) == max(one for one in sums if one <= budget)
+
+
+def test_preferences_rows_of_long_conversations_are_parts_of_the_whole(spark):
+    common = [(1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(1100)]
+    chosen = spark.createDataFrame([*common, *((1, t, "assistant", "yes" * (t % 5)) for t in range(1100, 2300))], "pair long, turn long, role string, text string")
+    rejected = spark.createDataFrame([*common, *((1, t, "assistant", "no" * (t % 7)) for t in range(1100, 1900))], "pair long, turn long, role string, text string")
+
+    def whole(turns_per_row: int) -> tuple:
+        rows = sorted(preferences.format_pairs(chosen, rejected, turns_per_row).collect(), key=lambda r: r["block"])
+        texts = tuple("".join(r[name] for r in rows) for name in ("prompt", "chosen", "rejected"))
+        masks = tuple([tuple(span) for r in rows for span in r[name]] for name in ("chosen_mask", "rejected_mask"))
+        assert {r["n_common"] for r in rows} == {1100}
+        return len(rows), texts, masks
+
+    one, many = whole(5000), whole(512)
+    assert one[0] == 1 and many[0] == 5 and one[1:] == many[1:]
+    (_, good, bad), (good_mask, bad_mask) = one[1:]
+    assert [good[b:e] for b, e in good_mask] == ["yes" * (t % 5) for t in range(1100, 2300)]
+    assert [bad[b:e] for b, e in bad_mask] == ["no" * (t % 7) for t in range(1100, 1900)]
+
+
 def test_preferences_edges(spark):
     schema = "pair long, turn long, role string, text string, block int"
     chosen = [(1, 0, "user", "hi", 0), (1, 1, "assistant", "a", 0), (1, 1, "assistant", "a", 0), (2, 0, None, None, 0), (None, 0, "user", "x", 0)]
