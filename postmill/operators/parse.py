@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.functions.scalar import as_long, evaluated_once, post_time
+from postmill.functions.scalar import as_long, evaluated_once, on_its_day, written_moment
 from postmill.functions.text import is_blank, normalise_tag
 from postmill.operators.rules import too_long
 from postmill.schema import INGEST_SCHEMA
@@ -33,19 +33,24 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     parsed = lines.select("*", evaluated_once(parse_json(F.col("value"))).alias("_doc"))
     doc, user = F.col("_doc"), F.col("_doc")["user"]
     no_tags = F.array().cast("array<string>")
-    # Typed columns first, verdict on them second: each is computed once.
-    typed = parsed.select(
+    moment = parsed.withColumn("_moment", written_moment(doc["created_at"]))
+    # Typed columns first, verdict on them second. The second generator keeps the optimizer
+    # from copying dates and tags into each filter on the verdict.
+    raw = moment.select(
         *lines.columns,
-        (doc.isNull() | doc["_corrupt"].isNotNull()).alias("_malformed"),
-        doc["id_str"].isNull().alias("_no_id"),
-        as_long(F.coalesce(doc["id"], doc["id_str"])).alias("post_ext_id"),
-        post_time(doc["created_at"]).alias("created_at"),
-        doc["text"].alias("text"),
-        doc["lang"].alias("lang"),
-        as_long(user["id"]).alias("user_ext_id"),
-        user["name"].alias("user_name"),
-        F.transform(F.coalesce(doc["entities"]["hashtags"]["text"], no_tags), normalise_tag).alias("tags"),
+        F.struct(
+            (doc.isNull() | doc["_corrupt"].isNotNull()).alias("_malformed"),
+            doc["id_str"].isNull().alias("_no_id"),
+            as_long(F.coalesce(doc["id"], doc["id_str"])).alias("post_ext_id"),
+            on_its_day(doc["created_at"], F.col("_moment")).alias("created_at"),
+            doc["text"].alias("text"),
+            doc["lang"].alias("lang"),
+            as_long(user["id"]).alias("user_ext_id"),
+            user["name"].alias("user_name"),
+            F.transform(F.coalesce(doc["entities"]["hashtags"]["text"], no_tags), normalise_tag).alias("tags"),
+        ).alias("_raw"),
     )
+    typed = raw.select(*lines.columns, evaluated_once(F.col("_raw")).alias("_typed")).select(*lines.columns, "_typed.*")
     blank = is_blank(F.col("value"))
     reason = (
         F.when(blank, F.lit(None))

@@ -103,6 +103,17 @@ def test_a_line_is_parsed_once(spark, tmp_path):
     assert plan.count("from_json(") == 1
 
 
+def test_dates_and_tags_are_read_once(spark, tmp_path):
+    lines = read_lines(spark, write_files(tmp_path / "in", a=[post(1)]))
+    plan = good_posts(parse_lines(lines))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp(") == 1 and plan.count("transform(") == 1
+
+
+def test_tags_are_trimmed_of_any_white_space(spark):
+    tags = ["a", " A", "a\n", "\u00a0a\u2003", "\t", "", "a b ", "\n\na\n\n"]
+    assert one(spark, post(1, tags=tags))["tags"] == ["a", "a", "a", "a", "", "", "a b", "a"]
+
+
 def test_many_posts(spark):
     lines = [post(i, f"text {i}", (i % 7, f"U{i % 7}")) for i in range(1000)]
     assert {row["status"] for row in parsed(spark, *lines)} == {"good"}
