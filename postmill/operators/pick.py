@@ -17,8 +17,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 
 def first_in_file(df: DataFrame, *keys: str) -> DataFrame:
-    """A5: the first line of every key within its file."""
-    return first_per_key(df, ["src_file", *keys], [F.col("pos")])
+    """A5: the first line of every key within its file. Keys come first, as a sort tells
+    them apart sooner than names of files."""
+    return first_per_key(df, [*keys, "src_file"], [F.col("pos")])
 
 
 def one_name_per_user(users: DataFrame) -> DataFrame:
