@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.operators.joins import BROADCAST_ROWS, Lookup, lookup_join
+from postmill.operators.joins import Lookup, lookup_join
 from postmill.operators.keys import encode, grown_dictionary
 from postmill.operators.pick import first_in_file
 from postmill.schema import STAGING
 from postmill.session import durable
 
-# Relative error of the estimate of how many posts are repeated.
-_ERROR = 0.02
+# Relative error of the estimate of repeated posts, and from how many of them on it counts.
+_ERROR, _MANY = 0.02, 10_000
 
 
 def used_tags(posts: DataFrame) -> DataFrame:
@@ -44,11 +44,12 @@ def stage_users(posts: DataFrame) -> DataFrame:
 
 
 def often_repeated(lines: DataFrame) -> bool:
-    """Whether files repeat more posts than can be sent to the lines: an estimate, which
-    chooses between two ways to the same rows. One row of sums per task."""
+    """Whether files repeat so many posts that it costs less to move the lines than to send
+    these to them: an estimate, which chooses between two ways to the same rows. One row of
+    sums per task."""
     place = F.xxhash64("src_file", "post_ext_id")
     seen = lines.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(place, _ERROR).alias("posts")).first()
-    return seen["n"] - seen["posts"] > BROADCAST_ROWS + 5 * _ERROR * seen["n"]
+    return seen["n"] - seen["posts"] > max(_MANY, 2 * _ERROR * seen["n"])
 
 
 def _first_in_place(lines: DataFrame) -> DataFrame:
@@ -60,14 +61,16 @@ def _first_in_place(lines: DataFrame) -> DataFrame:
     return marked.where(F.col("_first").isNull() | (F.col("pos") == F.col("_first")))
 
 
-def stage_posts(posts: DataFrame, dictionary: Lookup) -> DataFrame:
+def stage_posts(posts: DataFrame, dictionary: Lookup, often: bool | None = None) -> DataFrame:
     """The first line each file holds of a post, with its language number.
 
     Posts that a file repeats, as a rule few, are found on the keys and go to the
-    lines, whose texts stay where they are. Where they are many, the lines meet by post instead.
+    lines, whose texts stay where they are. Where they are many, the lines meet by post
+    instead; ``often`` says so if it is known already.
     """
     lines = posts.drop("user_name")
-    first = first_in_file(lines, "post_ext_id") if often_repeated(lines) else _first_in_place(lines)
+    often = often_repeated(lines) if often is None else often
+    first = first_in_file(lines, "post_ext_id") if often else _first_in_place(lines)
     coded = encode(first.withColumnRenamed("lang", "short_code"), dictionary, "short_code", ["src_file", "post_ext_id"])
     return coded.withColumnRenamed("short_code", "lang").select(*STAGING["posts_stage"].columns)
 

@@ -73,7 +73,7 @@ def test_many_repeated_posts_meet_once(spark, monkeypatch):
     langs = measured(spark.sql("select 'en' short_code, 37L lang_id"))
     assert not stage.often_repeated(lines)
     few = rows(stage.stage_posts(lines, langs), "src_file", "post_ext_id", "text")
-    monkeypatch.setattr(stage, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(stage, "_MANY", 100)
     assert stage.often_repeated(lines)
     many = stage.stage_posts(lines, langs)
     assert rows(many, "src_file", "post_ext_id", "text") == few
