@@ -98,5 +98,6 @@ def new_pairs(
     # The first row of a post that is stored is the post.
     known = F.col("_pair") & F.col("post_id").isNotNull()
     fresh = placed.where(known & ~F.struct("_pair", "tag_id").eqNullSafe(F.col("_before")))
-    linked = fresh.select("post_ext_id", "post_id", "tag_id").sortWithinPartitions("post_ext_id", "tag_id")
+    # In the order of the window, which the rows have already: they are not sorted again.
+    linked = fresh.sortWithinPartitions("post_ext_id", "_pair", "tag_id").select("post_ext_id", "post_id", "tag_id")
     return numbered(durable(linked), "post_tag_id", base).select(*MAIN["post_tag"].columns)

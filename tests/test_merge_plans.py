@@ -78,3 +78,14 @@ def test_many_repeated_posts_meet_once(spark, monkeypatch):
     many = stage.stage_posts(lines, langs)
     assert rows(many, "src_file", "post_ext_id", "text") == few
     assert many._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_pairs_are_sorted_once(spark, monkeypatch):
+    pairs = spark.createDataFrame([(post, tag) for post in range(50) for tag in (3, 1, 3)], "post_ext_id bigint, tag_id bigint")
+    posts = spark.range(50).select(F.col("id").alias("post_ext_id"), (F.col("id") + 100).alias("post_id"))
+    seen = []
+    monkeypatch.setattr(merge, "durable", lambda df: seen.append(df) or df.checkpoint())
+    linked = merge.new_pairs(pairs, posts, empty_table(spark, MAIN["post_tag"]), 0)
+    assert rows(linked, "post_tag_id", "post_id", "tag_id") == [(2 * n + t // 2 + 1, n + 100, t) for n in range(50) for t in (1, 3)]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count(" Sort [") == 1
