@@ -359,6 +359,44 @@ def test_line_dedup_null_and_repeated_ids(spark):
         assert (row["t"], row["n_lines"], row["n_removed"]) == expected[row["id"], row["was"]]
 
 
+def test_line_dedup_edits_of_all_lengths(spark):
+    """Each edit at the ends, beside the halves and beside the parts, for lengths around every step."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for n in (7, 8, 9, 10, 15, 16, 17, 31, 32, 33, 34, 63, 64, 65, 129):
+        base = [f"n{n}x{j}" for j in range(n)]
+        for turn, place in enumerate(sorted({0, 1, n // 8, n // 2 - 1, n // 2, n // 2 + 1, 7 * n // 8, n - 2, n - 1})):
+            edited = [base[:place] + ["new"] + base[place + 1 :], base[:place] + ["put"] + base[place:], base[:place] + base[place + 1 :]][(turn + n) % 3]
+            twice = list(base)
+            twice[place], twice[(place + n // 3 + 1) % n] = f"a{place}", f"b{place}"
+            rows += [(len(rows), " ".join(edited)), (len(rows) + 1, "  ".join(twice))]
+            if turn % 2:
+                rows.append((len(rows), f"{' '.join(base)}\nown {n} {place}"))
+    order = [(place, rows[at][1]) for place, at in enumerate(rng.permutation(len(rows)))]
+    expected = _deduped(order)
+    got = line_dedup.dedup_lines(spark.createDataFrame(order, "doc_id long, text string")).collect()
+    assert len(got) == len(order)
+    assert 0 < sum(row["n_removed"] for row in got) < sum(row["n_lines"] for row in got)
+    for row in got:
+        removed = expected[order[row["doc_id"]]]
+        assert (row["text"], row["n_lines"], row["n_removed"]) == removed
+
+
+def test_line_dedup_shuffles_little(spark, docs):
+    """Equal lines meet without a sort, and what was shuffled for a table is not kept on disk."""
+    lines = line_dedup.lines_of(docs, "doc_id", "text")
+    plan = line_dedup.distinct_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {path for folder in folders for path in Path(folder).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    line_dedup.repeated_lines(docs)
+    assert not shuffled() - before
+
+
 def _similar(docs):
     bags = {}
     for doc_id, text in docs:
