@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postmill.functions.scalar import evaluated_once
 from postmill.functions.text import contains_text, extract_tags
 from postmill.operators.joins import lookup_join, orphans
 from postmill.operators.rules import breaks
@@ -14,8 +15,11 @@ from postmill.schema import TableSpec
 
 
 def linked_tags(pairs: DataFrame, tags: DataFrame, post_key: str = "post_id") -> DataFrame:
-    """The distinct tag names of each post, for all posts in one join."""
-    distinct = pairs.select(post_key, "tag_id").distinct()
+    """The distinct tag names of each post, for all posts in one join.
+
+    Pairs are dealt out by post alone, so that what follows by post needs no further shuffle.
+    """
+    distinct = pairs.select(post_key, "tag_id").repartition(post_key).distinct()
     return lookup_join(distinct, tags.select("tag_id", "name"), "tag_id", [post_key]).select(post_key, "name")
 
 
@@ -43,14 +47,20 @@ def text_tags_not_linked(
 ) -> DataFrame:
     """Q2: tags written in the text without a link.
 
-    Only (post, tag) pairs leave the scan of the texts, each once, so the
-    anti-join is the one shuffle of the texts' side.
+    Only the tags leave the scan of the texts, each once, as one array of a post, and meet
+    there the array of its links. Posts with a null key have no links.
     """
-    written = F.explode(F.array_distinct(extract_tags(F.col("text"), keep_empty)))
-    pairs = posts.select(post_key, written.alias("tag"))
-    pairs = pairs.withColumn("name", F.lower("tag") if ignore_case else F.col("tag"))
+    found = F.array_distinct(extract_tags(F.col("text"), keep_empty))
+    written = posts.select(post_key, evaluated_once(found).alias("_written"))
     names = linked.select(post_key, F.lower("name").alias("name") if ignore_case else F.col("name"))
-    return pairs.join(names, [post_key, "name"], "left_anti").select(post_key, "tag")
+    names = names.groupBy(post_key).agg(F.collect_set("name").alias("_names"))
+    both = written.where(F.size("_written") > 0).join(names, post_key, "left")
+
+    def open_one(tag: Column) -> Column:
+        held = F.array_contains("_names", F.lower(tag) if ignore_case else tag)
+        return ~F.coalesce(held, F.lit(False))
+
+    return both.select(post_key, F.explode(F.filter("_written", open_one)).alias("tag"))
 
 
 def differs_from_text(linked_texts: DataFrame, name: str, text: str) -> DataFrame:

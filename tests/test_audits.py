@@ -63,6 +63,35 @@ def test_audits_by_load(spark):
     assert {row.audit: row.total for row in audits.running_totals(store).where("load_id = 7").collect()} == whole(store)
 
 
+def test_audits_share_their_shuffles(spark):
+    store = scratch_store(spark, "shared")
+    load_lines(store, lines(spark, LOADS[0] + LOADS[3]), "2024-01-01 00:00:00")
+    main = store.main()
+    linked = audits._by_post(audit.linked_tags(main["post_tag"], main["tags"]))
+    texts = main["posts"].select("post_id", "text")
+    rows = [
+        audit.tags_not_in_text(texts, linked.hint("merge")),
+        audit.differs_from_text(linked.hint("merge").join(texts, "post_id"), "name", "text"),
+        audit.text_tags_not_linked(texts, linked).hint("merge"),
+    ]
+    # Linked tags stay where they are; only the side of the texts is shuffled.
+    for found in rows:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 1, plan
+
+
+def test_open_tags_of_odd_posts(spark):
+    texts = [(1, "#a #A #b #b"), (1, "#c"), (2, None), (3, "none"), (None, "#x"), (4, "#Q")]
+    posts = spark.createDataFrame(texts, "post_id int, text string")
+    linked = spark.createDataFrame([(1, "B"), (1, None), (None, "x"), (3, "y"), (4, "q")], "post_id int, name string")
+
+    def found(**options):
+        return sorted((tuple(row) for row in audit.text_tags_not_linked(posts, linked, **options).collect()), key=repr)
+
+    assert found() == [(1, "A"), (1, "a"), (1, "c"), (None, "x")]
+    assert found(ignore_case=False) == [(1, "A"), (1, "a"), (1, "b"), (1, "c"), (4, "Q"), (None, "x")]
+
+
 def test_totals_come_from_footers(spark):
     store = scratch_store(spark, "footers")
     assert store.totals("posts", "post_id") == (0, 0)
