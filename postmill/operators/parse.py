@@ -61,7 +61,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         .when(F.col("user_ext_id").isNull() | F.col("user_name").isNull(), "bad user")
         .when(F.col("text").isNull(), "no text")
         .when(F.col("lang").isNull(), "no language")
-        .when(F.exists("tags", lambda tag: tag.isNull()), "bad tag")
+        # Tags are in lower case, so none is equal, and the answer is null beside a null tag.
+        .when(F.array_contains("tags", "A").isNull(), "bad tag")
     )
     judged = typed.withColumn("reason", reason)
     status = (

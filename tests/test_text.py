@@ -72,3 +72,13 @@ def test_rate(spark):
     df = spark.createDataFrame([(5000, 400), (5000, 2999), (7, 60000)], "n bigint, ms bigint")
     rates = [row[0] for row in df.select(scalar.rate_per_second(F.col("n"), F.col("ms"))).collect()]
     assert rates == [5000, 2500, 0]
+
+
+def test_every_white_space_is_trimmed(spark):
+    code = F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')")
+    signs = spark.range(0x11000).where("id not between 55296 and 57343").select(code.alias("c"))
+    both = signs.select(F.concat("c", "c", F.lit("x"), "c", F.lit("y"), "c").alias("t"))
+    by_rule = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    assert both.where(~text.trim_all(F.col("t")).eqNullSafe(by_rule)).count() == 0
+    assert both.where(text.trim_all(F.col("t")) != F.col("t")).count() == 25
+    assert spark.range(1).select(text.trim_all(F.lit(None).cast("string"))).first()[0] is None
